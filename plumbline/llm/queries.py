@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.config import DISGUISED_BLANKS
-from plumbline.llm import encoding_repair, survivors, visual_form
+from plumbline.llm import encoding_repair, format_dedupe, survivors, visual_form
 from plumbline.sources.tables import table
 
 PLACEHOLDERS = list(DISGUISED_BLANKS)
@@ -42,8 +42,16 @@ def p3_built(spark: SparkSession, folder: str) -> DataFrame:
     return survivors.built_record(df, sources, "app_number", RECORD_FIELDS, "updated_at", "source_system", PLACEHOLDERS)
 
 
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return format_dedupe.copies(table(spark, folder, "listing_rows"), "listing_id", ["app_number", "description"])
+
+
+def p6_collapsed(spark: SparkSession, folder: str) -> DataFrame:
+    return format_dedupe.collapse(table(spark, folder, "listing_rows"), "listing_id", ["app_number", "description"])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_one_form, p3_found, p3_built)}
+    return {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_one_form, p3_found, p3_built, p6_found, p6_collapsed)}
 
 
 def oracle_sql() -> dict[str, str]:
