@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.config import DISGUISED_BLANKS
-from plumbline.llm import encoding_repair, format_dedupe, survivors, visual_form
+from plumbline.llm import encoding_repair, format_dedupe, leakage, survivors, tokenizing, visual_form
 from plumbline.sources.tables import table
 
 PLACEHOLDERS = list(DISGUISED_BLANKS)
@@ -50,8 +50,20 @@ def p6_collapsed(spark: SparkSession, folder: str) -> DataFrame:
     return format_dedupe.collapse(table(spark, folder, "listing_rows"), "listing_id", ["app_number", "description"])
 
 
+def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
+    return tokenizing.token_ids(table(spark, folder, "documents"), "doc_id", "text")
+
+
+def p8_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return leakage.passages(table(spark, folder, "documents"), "doc_id", "text", table(spark, folder, "benchmark"), "item_id", "text")
+
+
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p8_passages(spark, folder).select("doc_id", "item_id").distinct()
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_one_form, p3_found, p3_built, p6_found, p6_collapsed)}
+    return {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_one_form, p3_found, p3_built, p6_found, p6_collapsed, p7_ids, p8_found, p8_passages)}
 
 
 def oracle_sql() -> dict[str, str]:
