@@ -24,14 +24,13 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F  # noqa: F401
 
 from plumbline.llm.visual_form import one_form
 
 PHRASE = 5
 PASSAGE = 20
 ONE_IN = 7
-SHARD_WORDS = 400_000
+SHARD_WORDS = 200_000
 ITEMS_PER_BLOCK = 5_000
 SAMPLE = 16
 BAND = 4

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.config import DISGUISED_BLANKS
-from plumbline.llm import encoding_repair, format_dedupe, leakage, survivors, tokenizing, visual_form
+from plumbline.llm import encoding_repair, format_dedupe, leakage, survivors, text_quality, tokenizing, visual_form
 from plumbline.sources.tables import table
 
 PLACEHOLDERS = list(DISGUISED_BLANKS)
@@ -62,8 +62,16 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return p8_passages(spark, folder).select("doc_id", "item_id").distinct()
 
 
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    return text_quality.find_not_prose(table(spark, folder, "documents"), "doc_id", "text", text_quality.common_words(table(spark, folder, "common_words")))
+
+
+def p9_figures(spark: SparkSession, folder: str) -> DataFrame:
+    return text_quality.statistics(table(spark, folder, "documents"), "doc_id", "text", text_quality.common_words(table(spark, folder, "common_words")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_one_form, p3_found, p3_built, p6_found, p6_collapsed, p7_ids, p8_found, p8_passages)}
+    return {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_one_form, p3_found, p3_built, p6_found, p6_collapsed, p7_ids, p8_found, p8_passages, p9_found, p9_figures)}
 
 
 def oracle_sql() -> dict[str, str]:

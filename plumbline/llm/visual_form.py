@@ -105,11 +105,21 @@ def _encode(cp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out, n
 
 
+#: Bytes of text that are worked on at once; a longer single text is worked on whole.
+SLICE_BYTES = 1 << 20
+
+
 def one_form(texts: pa.Array) -> pa.Array:
     """The consistent form of each text of an Arrow string array."""
     texts = (texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts).cast(pa.large_string())
     if len(texts) == 0:
         return texts.cast(pa.string())
+    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    cuts = [0, *(np.flatnonzero(np.diff((ends[1:] - ends[0]) // SLICE_BYTES)) + 1).tolist(), len(texts)]
+    return pa.concat_arrays([_slice_form(texts.slice(a, b - a)) for a, b in zip(cuts, cuts[1:])])
+
+
+def _slice_form(texts: pa.LargeStringArray) -> pa.Array:
     length, place, pool, ccc, keys, made = _tables()
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     data = np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0] : offsets[-1]] if texts.buffers()[2] is not None else np.empty(0, np.uint8)
