@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.operators import failed_rows
+from plumbline.operators import failed_rows, quality_profile
 from plumbline.sources.tables import table
 
 RAW_COLUMNS = ["app_number", "description", "part_description", "unit_price", "quantity", "weight", "country", "status", "order_date", "is_active"]
@@ -24,8 +24,23 @@ def p4_loaded(spark: SparkSession, folder: str) -> DataFrame:
     return failed_rows.loaded(failed_rows.read_records(table(spark, folder, "raw_records")), "record_id", RAW_COLUMNS)
 
 
+PROFILED = ["app_number", "description", "part_description", "unit_price", "quantity", "country", "status", "order_date"]
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_profile.changed_columns(table(spark, folder, "app_records"), "load_no", PROFILED, table(spark, folder, "cell_masks"))
+
+
+def p5_profile(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_profile.profile(table(spark, folder, "app_records"), "load_no", PROFILED, table(spark, folder, "cell_masks"))
+
+
+def p5_stability(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_profile.stability(table(spark, folder, "app_records"), "load_no", PROFILED, table(spark, folder, "cell_masks"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p4_found, p4_rejected, p4_loaded)}
+    return {f.__name__: f for f in (p4_found, p4_rejected, p4_loaded, p5_found, p5_profile, p5_stability)}
 
 
 def oracle_sql() -> dict[str, str]:
