@@ -1,10 +1,10 @@
 """Duplicates hidden by formatting: records that differ only in white space, case, punctuation or the order of fields.
 
-The distinct values of all columns are canonicalised once each: a value is split into fields at its separators, and each
-field is reduced to its letters and digits. A field is encoded as an integer by a fixed 64-bit hash: a dictionary that
-needs no table, no join and no agreement between tasks, and gives the same code when a lost task is run again. A record
-is rewritten as the sorted tuple of its field codes and records are grouped by that tuple, held as two independent 64-bit
-digests (128 bits), so what is shuffled is small whatever the length of the texts.
+Every column value is canonicalised: it is split into fields at its separators, and each field is reduced to its letters
+and digits. A field is encoded as an integer by a fixed 64-bit hash: a dictionary that needs no table, no join and no
+agreement between tasks, and gives the same code when a lost task is run again. A record is rewritten as the sorted tuple
+of its field codes, held as two independent 64-bit digests (128 bits), so what is shuffled is small whatever the length of
+the texts. Rows with equal tuples are collapsed at once, with map-side combine, before anything else happens to them.
 
 A writing without any separators is one long field. Its letters are those of its separated copies in their field order, so
 it is matched by the codes of the unseparated columns and takes over the tuple of the separated copies.
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 SEPARATOR = r"[;|\n\r]|(?<![0-9]),|,(?![0-9])|(?<=\s)/|/(?=\s)"
 #: Everything that does not belong to a field: neither letter nor digit, nor a point or comma between two digits.
 NOISE = r"(?U)[^\p{L}\p{N}.,]|(?<![0-9])[.,]|[.,](?![0-9])"
+_TUPLE, _WHOLE = ["k", "k2"], ["u", "u2"]
 
 
 def fields_of(c: Column) -> Column:
@@ -30,41 +31,39 @@ def fields_of(c: Column) -> Column:
     return F.filter(F.transform(parts, lambda x: F.regexp_replace(x, NOISE, "")), lambda x: x != "")
 
 
-def _digest(a: Column) -> Column:
-    return F.struct(F.xxhash64(a).alias("h"), F.xxhash64(F.lit(1), a).alias("g"))
-
-
 def record_keys(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """(id, k, u, open): the key of the sorted field codes, that of the unseparated columns, and whether separators lack."""
-    code = lambda x: F.xxhash64(x)
+    """(id, k, k2, u, u2, open): digests of the sorted field codes and of the unseparated columns; open if no separators."""
     rows = df.select(F.col(f"`{key}`").alias("id"), *[fields_of(F.col(f"`{c}`")).alias(f"f{i}") for i, c in enumerate(columns)])
     parts = [F.col(f"f{i}") for i in range(len(columns))]
     whole = F.filter(F.array(*[F.concat_ws("", p) for p in parts]), lambda x: x != "")
-    rows = rows.select("id", F.concat(*parts).alias("all"), whole.alias("whole"), (F.greatest(*[F.size(p) for p in parts]) <= 1).alias("open")).where(F.size("all") > 0)
-    return rows.select("id", _digest(F.array_sort(F.transform("all", code))).alias("k"), _digest(F.array_sort(F.transform("whole", code))).alias("u"), "open")
+    codes = lambda a: F.array_sort(F.transform(a, lambda x: F.xxhash64(x)))
+    rows = rows.where(sum((F.size(p) for p in parts), F.lit(0)) > 0)
+    rows = rows.select("id", codes(F.concat(*parts)).alias("t"), codes(whole).alias("w"), (F.greatest(*[F.size(p) for p in parts]) <= 1).alias("open"))
+    return rows.select("id", F.xxhash64("t").alias("k"), F.xxhash64(F.lit(1), "t").alias("k2"), F.xxhash64("w").alias("u"), F.xxhash64(F.lit(1), "w").alias("u2"), "open")
 
 
-def same_records(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """(id, k): the key of the record that each row writes. Rows with equal keys are copies of one record."""
-    rows = record_keys(df, key, columns)
-    closed, unseparated = rows.where("not open").select("id", "k", "u"), rows.where("open").select("id", "k", "u")
-    wanted = unseparated.select("u").distinct()
-    known = closed.join(wanted, "u", "left_semi").groupBy("u").agg(F.min("k").alias("known"))
-    settled = unseparated.join(known, "u", "left").select("id", F.coalesce("known", "k").alias("k"))
-    return closed.select("id", "k").unionByName(settled)
+def _writings(rows: DataFrame) -> DataFrame:
+    """(k, k2, u, u2, id, n, r, r2): each distinct writing with its smallest id and count, and the tuple of its record."""
+    each = rows.groupBy(*_TUPLE, *_WHOLE).agg(F.min("id").alias("id"), F.count("*").alias("n"), F.min("open").alias("open"))
+    closed, unseparated = each.where("not open"), each.where("open")
+    wanted = unseparated.select(*_WHOLE).distinct()
+    known = closed.join(wanted, _WHOLE, "left_semi").groupBy(*_WHOLE).agg(F.min(F.struct(*_TUPLE)).alias("known"))
+    settled = unseparated.join(known, _WHOLE, "left").select(*_TUPLE, *_WHOLE, "id", "n", F.coalesce("known.k", "k").alias("r"), F.coalesce("known.k2", "k2").alias("r2"))
+    return closed.select(*_TUPLE, *_WHOLE, "id", "n", F.col("k").alias("r"), F.col("k2").alias("r2")).unionByName(settled)
 
 
 def collapse(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """One row per record: (first id, n_copies)."""
-    return same_records(df, key, columns).groupBy("k").agg(F.min("id").alias(key), F.count("*").alias("n_copies")).select(key, "n_copies")
+    return _writings(record_keys(df, key, columns)).groupBy("r", "r2").agg(F.min("id").alias(key), F.sum("n").alias("n_copies")).select(key, "n_copies")
 
 
 def copies(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """(first_id, copy_id): the smallest id of each record that is written more than once, with each of its other ids.
 
-    The groups are formed by an aggregate with map-side combine; the rows then meet one small row per group, so a hot
-    group is split by rows and never gathered.
+    The rows meet one small row per writing of a repeated record, so a hot record is split by rows and never gathered.
     """
-    rows = same_records(df, key, columns)
-    groups = rows.groupBy("k").agg(F.min("id").alias("first_id"), F.count("*").alias("n")).where("n > 1").select("k", "first_id")
-    return rows.join(groups, "k").where("id <> first_id").select("first_id", F.col("id").alias("copy_id"))
+    rows = record_keys(df, key, columns)
+    writings = _writings(rows)
+    repeated = writings.groupBy("r", "r2").agg(F.min("id").alias("first_id"), F.sum("n").alias("copies")).where("copies > 1")
+    members = writings.select(*_TUPLE, *_WHOLE, "r", "r2").join(repeated, ["r", "r2"]).select(*_TUPLE, *_WHOLE, "first_id")
+    return rows.join(members, [*_TUPLE, *_WHOLE]).where("id <> first_id").select("first_id", F.col("id").alias("copy_id"))
