@@ -179,10 +179,12 @@ def _tests_of(names: tuple[str, ...]) -> list[str | None]:
 def read_record(text: str | None, sep: str, names: Iterable[str]) -> tuple[str, list[str] | None, str | None, float]:
     """(kind, values, reason, cost) of one record below the header; kind is loaded, failed, blank or header."""
     names = tuple(names)
-    if text is None or not text.replace(sep, "").replace('"', "").strip():
+    if text is None or not text.replace(sep, "").strip():
         return "blank", None, None, 0.0
     tests = _tests_of(names)
     values, wrong = split_strict(text, sep)
+    if values is not None and not any(v.strip() for v in values):
+        return "blank", None, None, 0.0
     if values is not None and len(values) == len(names):
         if tuple(map(column_name, values)) == names:
             return "header", None, None, 0.0

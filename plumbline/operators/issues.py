@@ -83,7 +83,7 @@ def long_issues(df: DataFrame, row: str, cells: Sequence[Column]) -> DataFrame:
     """(row, column_name, issue, value): one row per flagged cell."""
     if not cells:
         return df.select(row).where("false").select(row, F.lit("").alias("column_name"), F.lit("").alias("issue"), F.lit("").alias("value"))
-    return df.select(q(row).alias(row), F.explode(F.array_compact(F.array(*cells))).alias("i")).select(row, "i.*")
+    return df.select(q(row).alias(row), F.explode(F.array_compact(F.array(*cells))).alias("__issue")).select(row, "__issue.*")
 
 
 def table_issues(df: DataFrame, row: str, columns: Sequence[str], money: Sequence[str] = (), blanks: Sequence[str] = DISGUISED_BLANKS) -> DataFrame:

@@ -57,7 +57,7 @@ def save_outputs(result: CleanResult, folder: str, workbook: bool = False) -> st
         shown = result.display().orderBy(ROW).limit(MAX_SHEET_ROWS)
         sheets = [("Cleaned", ["row_number", *columns], [(i, *list(r)[1:]) for i, r in enumerate(shown.toLocalIterator(), 1)])]
         raw = [c for c in result.raw.columns if c != ROW]
-        sheets.append(("Raw", raw, [tuple(r) for r in result.raw.orderBy(ROW).limit(MAX_SHEET_ROWS).select(*[F.col("`" + c + "`") for c in raw]).toLocalIterator()]))
+        sheets.append(("Raw", result.raw_names, [tuple(r) for r in result.raw.orderBy(ROW).limit(MAX_SHEET_ROWS).select(*[F.col("`" + c + "`") for c in raw]).toLocalIterator()]))
         sheets.append(("Report", ["report"], [(x,) for x in report_lines(result)]))
         for kind in (Issue.KEY_DUPLICATE, Issue.KEY_INVALID, Issue.PRICE, Issue.FAILED, Issue.MISSING, Issue.DISGUISED):
             rows = [tuple(",".join(v) if isinstance(v, list) else v for v in list(r)[1:]) for r in issue_sheet(result, kind.name).orderBy(ROW).limit(MAX_SHEET_ROWS).toLocalIterator()]

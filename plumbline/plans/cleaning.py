@@ -46,6 +46,7 @@ class CleanResult:
 
     source: str
     raw: DataFrame
+    raw_names: list[str]
     cleaned: DataFrame
     issues: DataFrame
     kinds: dict[str, str]
@@ -125,8 +126,8 @@ def clean(df: DataFrame, source: str, options: Options = Options()) -> CleanResu
     notes: dict[str, list[str]] = {}
     unnamed = [i for i, c in enumerate(data) if N.is_unnamed(c)]
     names = N.free_reserved(N.unique_names([N.standard_name(c) for c in data]))
-    raw = df
-    table = df.select(q(ROW), *[q(c).alias(n) for c, n in zip(data, names)])
+    renamed_by_place = iter(names)  # by position: header spellings may differ in nothing but case
+    table = raw = df.toDF(*[ROW if c == ROW else next(renamed_by_place) for c in df.columns])
     audit.append(("standardize_column_names", f"{sum(a != b for a, b in zip(data, names))} column name(s) standardised"))
     for i in unnamed:
         notes.setdefault(names[i], []).append("The header was blank in the source")
@@ -139,7 +140,7 @@ def clean(df: DataFrame, source: str, options: Options = Options()) -> CleanResu
     steps, said = value_steps(table, names, blank, options)
     changed = check_no_loss(table, steps, options.blanks_to_null)
     audit += said + [("values_changed", f"{c}: {n} value(s)") for c, n in changed.items() if n]
-    table = table.select(q(ROW), *[steps[n][-1][1].alias(n) for n in names])
+    table = table.select(q(ROW), *[steps[n][-1][1].alias(n) for n in names]).persist()  # read by every profile below
     resolved, renamed = C.resolve_copies(table.select(*[q(n) for n in names]))
     names = [renamed.get(n, n) for n in names]
     table = table.toDF(ROW, *names)
@@ -192,4 +193,4 @@ def clean(df: DataFrame, source: str, options: Options = Options()) -> CleanResu
     counts = {r.issue: r.n for r in issues.groupBy("issue").agg(F.count("*").alias("n")).collect()}
     after = cleaned.count()
     stats = {"rows_before": before, "rows_after": after, "columns": len(names)} | {f"cells_{k.lower()}": v for k, v in counts.items()}
-    return CleanResult(source, raw, cleaned, issues, kinds, equal, notes, audit, stats)
+    return CleanResult(source, raw, data, cleaned, issues, kinds, equal, notes, audit, stats)

@@ -86,8 +86,10 @@ def na_words(blanks: Sequence[str] = DISGUISED_BLANKS) -> list[str]:
     return ["", *(w for w in DEFAULT_NA if w and w.strip().lower() not in {b.strip().lower() for b in blanks})]
 
 
-#: Python codec to the charset of Spark's reader; None where a file is transcoded on the driver's side of the reader.
-_CHARSETS = {"utf-8": "UTF-8", "utf-8-sig": "UTF-8", "utf-16": "UTF-16", "latin-1": "ISO-8859-1"}
+#: Python codec to the charset of Spark's reader. It refuses Windows-1252, which is Latin-1 but for the 32 codes from 0x80.
+_CHARSETS = {"utf-8": "UTF-8", "utf-8-sig": "UTF-8", "utf-16": "UTF-16", "latin-1": "ISO-8859-1", "cp1252": "ISO-8859-1"}
+_DEFINED = [b for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)]
+_CP1252 = ("".join(map(chr, _DEFINED)), "".join(bytes([b]).decode("cp1252") for b in _DEFINED))
 
 
 def load_text(spark: SparkSession, path: str, blanks: Sequence[str] = DISGUISED_BLANKS) -> LoadedFile:
@@ -110,11 +112,9 @@ def load_text(spark: SparkSession, path: str, blanks: Sequence[str] = DISGUISED_
     padded = [[*(c if c != "" else None for c in r), *[None] * (width - len(r))] for r in sample]
     header_row = find_header_row(padded)
     names = N.mangle_header(padded[header_row] if padded else [None])
+    rows = spark.read.schema(_schema(width)).options(sep=separator, quote='"', escape='"', mode="PERMISSIVE", encoding=_CHARSETS[encoding], multiLine="true").csv(path)
     if encoding == "cp1252":
-        records = _decoded(spark, path, encoding)
-        rows = spark.read.schema(_schema(width)).options(sep=separator, quote='"', escape='"', mode="PERMISSIVE", multiLine="true").csv(records)
-    else:
-        rows = spark.read.schema(_schema(width)).options(sep=separator, quote='"', escape='"', mode="PERMISSIVE", encoding=_CHARSETS[encoding], multiLine="true").csv(path)
+        rows = rows.select(*[F.translate(f"c{i}", *_CP1252).alias(f"c{i}") for i in range(width)])
     words = na_words(blanks)
     cells = [F.when(~F.col(f"c{i}").isin(words), F.col(f"c{i}")).alias(f"c{i}") for i in range(width)]
     rows = rows.where(" or ".join(f"c{i} is not null" for i in range(width))).withColumn("__row_id", F.monotonically_increasing_id())
@@ -126,28 +126,6 @@ def _schema(width: int) -> T.StructType:
     return T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
 
 
-def _decoded(spark: SparkSession, path: str, encoding: str) -> DataFrame:
-    """The records of a file in an encoding that Spark's reader refuses, one string per record."""
-
-    def decode(batches):
-        import pandas as pd
-
-        for batch in batches:
-            for content in batch["content"]:
-                text = bytes(content).decode(encoding, "replace")
-                out, held, quotes = [], "", 0
-                for line in io.StringIO(text, newline=""):
-                    held, quotes = held + line, quotes + line.count('"')
-                    if quotes % 2 == 0:
-                        out.append(held.rstrip("\r\n"))
-                        held, quotes = "", 0
-                if held:
-                    out.append(held.rstrip("\r\n"))
-                yield pd.DataFrame({"value": [x for x in out if x]})
-
-    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(decode, "value string")
-
-
 def physical_types(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
     """int, float, bool, text or blank: what an untyped text column would be read as. Leading zeros make it text."""
     tests = []
