@@ -31,11 +31,11 @@ from pyspark.sql import types as T
 WRONG_CHARSETS = ("cp1252", "latin-1", "mac_roman", "cp437", "cp850", "cp1250", "cp1251", "iso8859_15", "koi8_r")
 SINGLE_BYTE_SWAPS = (("cp437", "cp1252"), ("cp850", "cp1252"), ("mac_roman", "cp1252"), ("cp1252", "cp850"), ("cp1252", "mac_roman"))
 
-STEP_PRICE_UTF8 = 0.2
+STEP_PRICE_UTF8 = 0.5
 STEP_PRICE_SWAP = 1.6
-STEP_PRICE_ESCAPE = 0.2
+STEP_PRICE_ESCAPE = 0.5
 STEP_PRICE_CASE = 0.4
-MIN_GAIN = 0.4
+MIN_GAIN = 0.1
 MAX_STATES = 400
 MEMO_PIECES = 200_000
 
@@ -104,7 +104,7 @@ def _char(c: str) -> tuple[float, str]:
 
 def plausibility_cost(text: str) -> float:
     """Low for text as people write it; rises with odd characters and with odd neighbours."""
-    cost, before, was = 0.0, "sp", " "
+    cost, before, was = 1.5 * len(_ESCAPE.findall(text)), "sp", " "
     for c in text:
         own, kind = _char(c)
         cost += own
@@ -114,7 +114,7 @@ def plausibility_cost(text: str) -> float:
             elif before == "sym" and ord(was) > 0x7F and kind not in ("sp", "dig", "sym", "ctl"):
                 cost += 0.5
             elif kind not in ("sp", "dig", "sym", "ctl") and before not in ("sp", "dig", "sym", "ctl", "mark") and kind != before:
-                cost += 0.8
+                cost += 1.2
             elif kind == before == "LATIN" and c > "\x7f" and was > "\x7f":
                 cost += 0.4
             elif was.islower() and c.isupper() and (ord(c) > 0x7F or ord(was) > 0x7F):
@@ -156,7 +156,7 @@ def search(piece: str) -> tuple[str, str]:
     while frontier and serial < MAX_STATES:
         _, _, paid, text, path = heapq.heappop(frontier)
         for price, name, after in _steps(text):
-            if paid + price >= best_cost:
+            if paid + price >= best_cost or (path and name in ("upper", "lower")):
                 continue  # no text costs less than nothing
             key = hash(after)
             if key in visited:

@@ -7,7 +7,7 @@ positions sampled at every 16th place. All phrases of five words of all items ar
 query per symbol and end; occurrences are located by walking back to a sampled position. Around each occurrence the words
 along near-by diagonals are counted, and what may hold a passage is aligned word by word; passages become removal spans.
 
-A passage is a stretch of at least 20 words of an item with at most one word in seven changed, left out or put in. Twenty
+A passage is a stretch of at least 20 words of an item with less than one word in seven changed, left out or put in. Twenty
 words with up to three such edits, and any longer passage, leave five words in a row untouched, so no passage is missed by
 searching phrases of five.
 
@@ -142,7 +142,7 @@ class Items:
 
 def align(item: list[int], doc: list[int], shift: int, band: int = 12) -> tuple[int, int, int, int] | None:
     """The longest passage on a path near the diagonal doc = item + shift: (item words, edits, first, last doc word)."""
-    gap, width = 3, 2 * band + 1
+    gap, width = 1, 2 * band + 1  # low, so that a passage is followed across edits near its ends; its share of edits is tested below
     best, best_at = 0, None
     above = [0] * (width + 1)
     moves: list[list[int]] = []
@@ -183,7 +183,7 @@ def align(item: list[int], doc: list[int], shift: int, band: int = 12) -> tuple[
         for b in range(a, len(path)):
             same, of_item, j = path[b]
             used, edits = used + of_item, edits + (not same)
-            if same and used >= PASSAGE and edits * ONE_IN <= used and (found is None or used > found[0]):
+            if same and used >= PASSAGE and edits * ONE_IN < used and (found is None or used > found[0]):
                 found = (used, edits, path[a][2], j)
     return found
 

@@ -145,15 +145,20 @@ def _slice_form(texts: pa.LargeStringArray) -> pa.Array:
         segment = np.cumsum(start)
         order = np.lexsort((cls, segment))
         out, cls, row = out[order], cls[order], row[order]
-        while len(out) > 1:  # each round composes one mark with each base
-            key = out[:-1].astype(np.int64) << 21 | out[1:]
+        while len(out) > 1:  # each round composes one mark with each base; a mark of the same class before it is in the way
+            place_of = np.arange(len(out))
+            head = (cls == 0) | np.concatenate([[True], row[1:] != row[:-1]])
+            base = np.maximum.accumulate(np.where(head, place_of, 0))
+            key = out[base].astype(np.int64) << 21 | out
             k = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-            hit = (keys[k] == key) & (cls[1:] > 0) & (row[1:] == row[:-1])
-            hit[1:] &= ~hit[:-1]
-            if not hit.any():
+            free = np.concatenate([[False], (cls[1:] != cls[:-1]) | head[:-1]])
+            hit = np.flatnonzero((keys[k] == key) & (cls > 0) & ~head & free)
+            if not len(hit):
                 break
-            out[:-1][hit] = made[k[hit]]
-            stay = np.concatenate([[True], ~hit])
+            hit = hit[np.unique(base[hit], return_index=True)[1]]
+            out[base[hit]] = made[k[hit]]
+            stay = np.ones(len(out), bool)
+            stay[hit] = False
             out, cls, row = out[stay], cls[stay], row[stay]
     made_bytes, width = _encode(out)
     ends = np.concatenate([[0], np.cumsum(np.bincount(row, weights=width, minlength=len(texts)).astype(np.int64))]) if len(out) else np.zeros(len(texts) + 1, np.int64)
