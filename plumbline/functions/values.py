@@ -7,7 +7,7 @@ null, and the caller keeps the original beside it.
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 import pandas as pd
 from pyspark.sql import Column
@@ -30,6 +30,11 @@ MONTH_STARTS = "janfebmaraprmayjunjulaugsepoctnovdec"
 PHONE_LIKE = r"^[\s()+\-.0-9]{5,}$"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often it is used: expressions would otherwise be copied."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def latin1_repair(c: Column) -> Column:
     """UTF-8 text that was read as Latin-1, read again; other text unchanged."""
     narrow = F.when(c.rlike(r"^[\x00-\xFF]*$") & c.rlike(r"[\x80-\xFF]"), c)
@@ -81,21 +86,28 @@ def map_category(c: Column, mapping: Mapping[str, str]) -> Column:
 
 def currency_text(c: Column) -> Column:
     """A number as people write money, in a form that a number parser reads."""
-    s = strip(c)
-    s = F.when(s.startswith("(") & s.endswith(")") & (F.length(s) > 1), F.concat(F.lit("-"), strip(F.substr(s, F.lit(2), F.length(s) - 2)))).when(s.endswith("-") & ~s.startswith("-"), F.concat(F.lit("-"), strip(F.substr(s, F.lit(1), F.length(s) - 1)))).otherwise(s)
-    s = F.regexp_replace(F.translate(s, "\u2212\u2013\u2014", "---"), "[£$€¥]", "")
-    parts = F.split(s, ",")
+    return let(strip(c), lambda s: let(_unsigned(s), _unseparated))
+
+
+def _unsigned(s: Column) -> Column:
+    """Brackets and trailing minus as a leading minus, dashes as minus, currency signs gone."""
+    inner, before = strip(F.substr(s, F.lit(2), F.length(s) - 2)), strip(F.substr(s, F.lit(1), F.length(s) - 1))
+    signed = F.when(s.startswith("(") & s.endswith(")") & (F.length(s) > 1), F.concat(F.lit("-"), inner)).when(s.endswith("-") & ~s.startswith("-"), F.concat(F.lit("-"), before)).otherwise(s)
+    return F.translate(signed, "\u2212\u2013\u2014£$€¥", "---")
+
+
+def _unseparated(s: Column) -> Column:
+    """The last of comma and point is the decimal sign; a lone comma is one before two digits, else it marks thousands."""
     comma, point = F.instr(F.reverse(s), ","), F.instr(F.reverse(s), ".")  # from the end; 0 where absent
     plain = F.replace(s, F.lit(","), F.lit(""))
     both = F.when(comma < point, F.replace(F.replace(s, F.lit("."), F.lit("")), F.lit(","), F.lit("."))).otherwise(plain)
-    single = F.when((F.size(parts) == 2) & (F.length(parts[1]) == 2), F.replace(s, F.lit(","), F.lit("."))).when(F.forall(F.slice(parts, 2, 1_000_000), lambda p: F.length(p) == 3), plain).otherwise(s)
+    single = F.when(s.rlike("^[^,]*,[^,]{2}$"), F.replace(s, F.lit(","), F.lit("."))).when(s.rlike("^[^,]*(,[^,]{3})+$"), plain).otherwise(s)
     return strip(F.when((comma > 0) & (point > 0), both).when(comma > 0, single).otherwise(s))
 
 
 def to_number(c: Column) -> Column:
     """Strictly a number, else null. Spark's own cast also takes type suffixes."""
-    s = strip(c)
-    return F.when(s.rlike(NUMBER), s.try_cast("double"))
+    return let(strip(c), lambda s: F.when(s.rlike(NUMBER), s.try_cast("double")))
 
 
 def to_money(c: Column) -> Column:
@@ -134,7 +146,10 @@ def _date(year: Column, month: Column, day: Column) -> Column:
 
 def to_date_uk(c: Column) -> Column:
     """A calendar date: year first as written, otherwise day first, month first only where day first is no date."""
-    s = strip(c)
+    return let(strip(c), _date_of)
+
+
+def _date_of(s: Column) -> Column:
     part = lambda pattern, i: F.regexp_extract(s, pattern, i)
 
     def month(pattern: str, i: int) -> Column:

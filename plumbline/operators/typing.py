@@ -58,15 +58,17 @@ def profiles(df: DataFrame, columns: Sequence[str], blanks: Sequence[str] = DISG
     counts = cells.groupBy("i", "v").agg(F.count("*").alias("n"))
     v, n = F.col("v"), F.col("n")
     sample = v.isNotNull() & ~is_placeholder(v, blanks)
-    key, words = V.flag_key(v), list(TRUE_WORDS + FALSE_WORDS)
+    words = list(TRUE_WORDS + FALSE_WORDS)
     total = lambda test: F.sum(F.when(test, n).otherwise(0))
-    like = lambda pattern: sample & v.rlike(pattern)
+    like = lambda pattern: F.col("sample") & v.rlike(pattern)
+    counts = counts.select("i", "v", "n", sample.alias("sample"), V.to_number(v).isNotNull().alias("number"), V.to_money(v).isNotNull().alias("money"), V.to_date_uk(v).isNotNull().alias("date"), V.flag_key(v).alias("key"))
+    sample, key = F.col("sample"), F.col("key")
     rows = counts.groupBy("i").agg(
         F.sum("n").alias("rows"), total(v.isNotNull()).alias("present"), total(sample).alias("n"), F.count_if(v.isNotNull()).alias("distinct"),
         total(like(r"^[^@\s]+@[^@\s]+\.[^@\s]+$")).alias("emails"), total(like(r"^[0-9\s\-().+]{7,}$")).alias("phones"),
         total(like("[£$€]")).alias("currency"), total(like("%")).alias("percents"), total(like("^0[0-9]")).alias("leading_zero"),
-        total(like(r"^[£$€]?-?[0-9]+(\.[0-9]+)?%?$")).alias("number_like"), total(sample & V.to_number(v).isNotNull()).alias("numbers"),
-        total(sample & V.to_money(v).isNotNull()).alias("money"), total(sample & V.to_date_uk(v).isNotNull()).alias("dates"),
+        total(like(r"^[£$€]?-?[0-9]+(\.[0-9]+)?%?$")).alias("number_like"), total(sample & F.col("number")).alias("numbers"),
+        total(sample & F.col("money")).alias("money"), total(sample & F.col("date")).alias("dates"),
         total(like(r"(?U)\S")).alias("filled_text"), total(sample & key.isin(words)).alias("flag_words"),
         total(sample & key.isin([w for w in words if w not in ("0", "1")])).alias("word_flags"),
         F.collect_set(F.when(sample & key.isin(words), key)).alias("flag_keys"),
