@@ -61,7 +61,7 @@ def statistics(df: DataFrame, key: str, text: str, common: Sequence[str]) -> Dat
         share(F.length(F.regexp_replace("t", r"[\p{L}\p{M}\p{N}\s]+", "")), F.col("n_chars")).alias("symbol_ratio"),
         share(F.length(F.regexp_replace("t", r"[^0-9]+", "")), F.col("n_chars")).alias("digit_ratio"),
         share(F.length(F.regexp_replace("t", r"\P{Lu}+", "")), F.col("n_chars")).alias("upper_ratio"),
-        share(count("lines", lambda x: x.rlike(r"[.!?:…\"”»]\s*$")), lines).alias("line_end_share"),
+        share(count("lines", lambda x: x.rlike(r"[.!?:…\"”»]\s*\z")), lines).alias("line_end_share"),
         share(count("lines", lambda x: x.rlike(r"^\s*([-*•–#|\[]|[0-9]+[.)])")), lines).alias("bullet_share"),
         share(count("words", is_common), n).alias("common_share"),
         share(F.size(F.array_distinct("words")), n).alias("distinct_share"),
