@@ -40,7 +40,10 @@ MAX_STATES = 400
 MEMO_PIECES = 200_000
 
 _BLANK = r" \t\r\n -  　"
-_PIECE = re.compile(rf"[^{_BLANK}]*(?:[^\x00-\x7f{_BLANK}]|&#?\w{{2,8}};|\\u[0-9a-fA-F]{{4}})[^{_BLANK}]*")
+_TOKEN = re.compile(rf"[^{_BLANK}]+")
+_ODD = re.compile(r"[^\x00-\x7f]|&#?\w{2,8};|\\u[0-9a-fA-F]{4}")
+_LONG_PLAIN = re.compile(r"[^&\\\x80-\U0010ffff]{32,}")  # cuts long tokens; no damage reaches across so much plain text
+LONG_TOKEN = 256
 _UTF8 = re.compile("[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}|\xed[\x80-\x9f][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}")
 _ESCAPE = re.compile(r"&#?\w{2,8};|\\u[0-9a-fA-F]{4}")
 _OUTSIDE = "Ā"  # stands for a character that the charset lacks; not a byte, so it ends every sequence
@@ -174,18 +177,29 @@ def search(piece: str) -> tuple[str, str]:
     return best, best_path
 
 
+def pieces(text: str) -> Iterator[tuple[int, int]]:
+    """Places of the stretches that are searched on their own, in linear time whatever the text."""
+    for token in _TOKEN.finditer(text):
+        at, end = token.span()
+        cuts = [m.span() for m in _LONG_PLAIN.finditer(text, at, end)] if end - at > LONG_TOKEN else []
+        for a, b in zip([at, *(y for _, y in cuts)], [*(x for x, _ in cuts), end]):
+            if a < b and _ODD.search(text, a, b):
+                yield a, b
+
+
 def repair(text: str | None) -> tuple[bool, str | None, str | None]:
     """(affected, restored text, operations). The restored text is null where an affected text cannot be fully restored."""
     if text is None:
         return False, None, None
     out, at, paths = [], 0, []
-    for m in _PIECE.finditer(text):
-        if _PLAIN.fullmatch(m[0]) and not _ESCAPE.search(m[0]):
+    for a, b in pieces(text):
+        piece = text[a:b]
+        if _PLAIN.fullmatch(piece) and not _ESCAPE.search(piece):
             continue
-        after, path = search(m[0])
+        after, path = search(piece)
         if path:
-            out += [text[at : m.start()], after]
-            at = m.end()
+            out += [text[at:a], after]
+            at = b
             paths.append(path)
     lost = "�" in text
     if not paths and not lost:
