@@ -19,6 +19,8 @@ from plumbline.functions.blanks import is_placeholder
 
 DATE_RATE, FLAG_RATE, PHONE_RATE, EMAIL_RATE, NUMBER_RATE, SIGN_RATE = 0.6, 0.75, 0.5, 0.5, 0.5, 0.3
 UNIQUE_RATE, CATEGORY_RATE, FLAG_VALUES = 0.95, 0.2, 16
+#: No number or date is written longer; longer values skip the parsers.
+MAX_PARSED = 64
 CLEAR_WORDS = {"true", "false", "yes", "no"}
 FLAG_TOKENS = {"flag", "enabled", "active", "boolean", "bool", "yn"}
 
@@ -59,9 +61,10 @@ def profiles(df: DataFrame, columns: Sequence[str], blanks: Sequence[str] = DISG
     v, n = F.col("v"), F.col("n")
     sample = v.isNotNull() & ~is_placeholder(v, blanks)
     words = list(TRUE_WORDS + FALSE_WORDS)
+    short = F.coalesce((F.length(F.btrim(v)) <= MAX_PARSED) & v.rlike("[0-9]"), F.lit(False))  # neither number nor date otherwise
     total = lambda test: F.sum(F.when(test, n).otherwise(0))
     like = lambda pattern: F.col("sample") & v.rlike(pattern)
-    counts = counts.select("i", "v", "n", sample.alias("sample"), V.to_number(v).isNotNull().alias("number"), V.to_money(v).isNotNull().alias("money"), V.to_date_uk(v).isNotNull().alias("date"), V.flag_key(v).alias("key"))
+    counts = counts.select("i", "v", "n", sample.alias("sample"), V.to_number(v).isNotNull().alias("number"), (short & V.to_money(F.when(short, v)).isNotNull()).alias("money"), (short & V.to_date_uk(F.when(short, v)).isNotNull()).alias("date"), V.flag_key(v).alias("key"))
     sample, key = F.col("sample"), F.col("key")
     rows = counts.groupBy("i").agg(
         F.sum("n").alias("rows"), total(v.isNotNull()).alias("present"), total(sample).alias("n"), F.count_if(v.isNotNull()).alias("distinct"),

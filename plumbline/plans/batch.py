@@ -8,9 +8,9 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.operators.issues import Issue
-from plumbline.plans.cleaning import ROW, CleanResult, Options, clean
+from plumbline.plans.cleaning import ROW, SOURCE, CleanResult, Options, clean
 from plumbline.plans.reporting import report_lines
-from plumbline.sources.text import LoadedFile, find_input_files, load_text
+from plumbline.sources.text import LoadedFile, describe_source, find_input_files, load_text
 from plumbline.sources.workbooks import MAX_SHEET_ROWS, load_workbook, write_workbook
 
 
@@ -22,6 +22,7 @@ def load_file(spark: SparkSession, path: str, options: Options = Options()) -> L
 def clean_file(spark: SparkSession, path: str, options: Options = Options()) -> CleanResult:
     loaded = load_file(spark, path, options)
     result = clean(loaded.df, os.path.basename(path), options)
+    result.audit.insert(0, ("source_file_info", ", ".join(f"{k}: {v}" for k, v in describe_source(loaded).items() if v not in (None, []))))
     if loaded.sheet_note:
         result.audit.insert(0, ("choose_sheet", loaded.sheet_note))
     result.stats["filler_rows_top_removed"] = loaded.header_row
@@ -62,6 +63,11 @@ def save_outputs(result: CleanResult, folder: str, workbook: bool = False) -> st
         for kind in (Issue.KEY_DUPLICATE, Issue.KEY_INVALID, Issue.PRICE, Issue.FAILED, Issue.MISSING, Issue.DISGUISED):
             rows = [tuple(",".join(v) if isinstance(v, list) else v for v in list(r)[1:]) for r in issue_sheet(result, kind.name).orderBy(ROW).limit(MAX_SHEET_ROWS).toLocalIterator()]
             sheets.append((kind.value[1], [*columns, "flagged_columns"], rows or [("No issues found for this category.",)]))
+        equal = sorted({c for pair in result.equal_columns for c in pair})
+        if equal:
+            same = result.display().orderBy(ROW).limit(MAX_SHEET_ROWS).select(*[F.col(f"`{c}`") for c in equal])
+            sheets.append((Issue.EQUAL_FIELD.value[1], equal, [tuple(r) for r in same.toLocalIterator()]))
+        sheets.append(("Generated Fields", ["cleaned_row_number", SOURCE], [(i, result.source) for i in range(1, min(result.stats["rows_after"], MAX_SHEET_ROWS) + 1)]))
         sheets.append((Issue.FIELD.value[1], ["field", "note"], [(c, n) for c, ns in result.header_notes.items() for n in ns]))
         write_workbook(f"{target}/{os.path.splitext(result.source)[0]}.xlsx", sheets, {i.value[1]: i.value[0] for i in Issue})
     return target

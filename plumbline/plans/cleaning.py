@@ -38,6 +38,7 @@ class Options:
     fill_numbers_with_zero: bool = False
     drop_blank_columns: bool = False
     drop_equal_copies: bool = False
+    max_rows_lost: int | None = None
 
 
 @dataclass
@@ -192,5 +193,7 @@ def clean(df: DataFrame, source: str, options: Options = Options()) -> CleanResu
     cleaned = cleaned.withColumn(SOURCE, F.lit(source))
     counts = {r.issue: r.n for r in issues.groupBy("issue").agg(F.count("*").alias("n")).collect()}
     after = cleaned.count()
+    if options.max_rows_lost is not None:
+        check_row_loss(before, after, options.max_rows_lost)
     stats = {"rows_before": before, "rows_after": after, "columns": len(names)} | {f"cells_{k.lower()}": v for k, v in counts.items()}
     return CleanResult(source, raw, data, cleaned, issues, kinds, equal, notes, audit, stats)

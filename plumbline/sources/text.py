@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import codecs
 import csv
+import datetime
+import hashlib
 import io
 import os
 import re
@@ -48,6 +50,22 @@ def find_input_files(folder: str, extensions: Sequence[str] = EXTENSIONS) -> lis
     return [os.path.join(folder, f) for x in extensions for f in files if f.lower().endswith("." + x)]
 
 
+#: What a file of an extension is called.
+TYPE_LABELS = {".csv": "CSV text", ".tsv": "Tab-separated text", ".txt": "Plain text", ".xlsx": "Excel workbook", ".xlsm": "Excel workbook with macros", ".xls": "Excel 97-2003 workbook", ".xlsb": "Excel binary workbook"}
+
+
+def describe_source(loaded: LoadedFile) -> dict[str, object]:
+    """What is known of a source file: kind, size, time, digest, encoding, sheets and filler rows."""
+    info, digest = os.stat(loaded.path), hashlib.sha256()
+    with open(loaded.path, "rb") as f:
+        while block := f.read(1 << 20):
+            digest.update(block)
+    return {
+        "name": os.path.basename(loaded.path), "kind": TYPE_LABELS.get(loaded.ext, loaded.ext), "bytes": info.st_size, "modified": datetime.datetime.fromtimestamp(info.st_mtime, datetime.UTC).isoformat(timespec="seconds"),
+        "sha256": digest.hexdigest(), "encoding": loaded.encoding, "separator": loaded.separator, "sheet": loaded.sheet_name, "sheets": list(loaded.sheet_names), "filler_rows": loaded.header_row,
+    }
+
+
 def detect_encoding(head: bytes, whole: bool = True) -> str:
     """Encoding of the first bytes of a file. A character cut off at the end of a sample is no error."""
     for mark, name in ((codecs.BOM_UTF8, "utf-8-sig"), (codecs.BOM_UTF16_LE, "utf-16"), (codecs.BOM_UTF16_BE, "utf-16")):

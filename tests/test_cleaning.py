@@ -126,6 +126,18 @@ def test_stream_cleans_each_file_once(spark, tmp_path):
     assert os.listdir(outbox) == ["a - CLEANED"]
 
 
+def test_row_loss_guard(spark, tmp_path):
+    with pytest.raises(ValueError, match="1 rows were lost"):
+        cleaned(spark, tmp_path, "id,name\n1,x\n1,X\n2,y\n", options=Options(max_rows_lost=0))
+
+
+def test_source_description(spark, tmp_path):
+    path = tmp_path / "s.tsv"
+    path.write_bytes(b"id\tname\n1\tx\n")
+    said = X.describe_source(X.load_text(spark, str(path)))
+    assert said["bytes"] == 12 and said["kind"] == "Tab-separated text" and len(said["sha256"]) == 64 and said["filler_rows"] == 0
+
+
 def test_report_and_optional_modes(spark, tmp_path):
     r = cleaned(spark, tmp_path, "id,gap,note\n1,,N/A\n2,,b\n", options=Options(blanks_to_null=True, drop_blank_columns=True))
     assert r.columns() == ["id", "note", "source_file"] and column(r, "note") == [None, "b"]
