@@ -2,8 +2,9 @@
 
 The columns are unpivoted and counted as (load, column, value, n) with map-side combine, so a value that fills a third of a
 load is a handful of rows by the time anything is shuffled. Everything else comes from these counts: frequencies, distinct
-values, ranges, and histograms of several kinds (state, written form, value, number, year, length). A load's histogram is
-held against the usual one, the median share of each bin over all loads, by the population stability index; a column has
+values, ranges, and histograms of several kinds (state, written form, value, number, year, length). The written form of
+a long text is seen by its start, its end, the marks in it, its runs and the shares of classes of characters: one hash of it
+all would differ from row to row and show nothing. A load's histogram is held against the usual one, the median share of each bin over all loads, by the population stability index; a column has
 changed where an index passes what chance and lesser wobble give, or the share of distinct values moves plainly.
 
 Defined cases: rows without a load number are profiled under null and not compared; a column that is empty in a load has
@@ -30,6 +31,12 @@ HASH_BINS = 32
 MIN_KIND_SHARE = 0.3
 #: No plain number is written longer.
 MAX_NUMBER = 40
+#: Characters of a written form that its start and its end take; the other histograms of form take it whole.
+START, END = 16, 4
+SHARE_BINS = 8
+CLASSES = {"lower": "a", "upper": "A", "digits": "9", "blanks": " "}
+#: Histograms of filled cells, compared however few cells are filled.
+_OF_FILLED = ("form", "ending", "marks", "runs", *CLASSES, "value", "length")
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -39,9 +46,14 @@ def value_counts(df: DataFrame, load: str, columns: Sequence[str]) -> DataFrame:
     return cells.groupBy("load", "column_name", "value").agg(F.count("*").alias("n"))
 
 
-def written_form(c: Column) -> Column:
-    """How a value is written: a for lower-case letters, A for upper-case ones, 9 for digits, each run once."""
-    return F.regexp_replace(F.translate(c, _LETTERS + _LETTERS.upper() + "0123456789", "a" * 26 + "A" * 26 + "9" * 10), r"(.)\1+", "$1")
+def classes(c: Column) -> Column:
+    """a for each lower-case letter of a value, A for each upper-case one, 9 for each digit."""
+    return F.translate(c, _LETTERS + _LETTERS.upper() + "0123456789", "a" * 26 + "A" * 26 + "9" * 10)
+
+
+def written_form(classes: Column) -> Column:
+    """How a value is written: its classes, each run once."""
+    return F.regexp_replace(classes, r"(.)\1+", "$1")
 
 
 def plain_number(c: Column) -> Column:
@@ -81,22 +93,31 @@ def histograms(df: DataFrame, load: str, columns: Sequence[str], masks: DataFram
     filled, v = F.col("filled"), F.col("value")
     number = F.col("number")
     magnitude = F.when(number == 0, "0").otherwise(F.concat(F.when(number < 0, "-").otherwise("+"), F.floor(F.log2(F.abs(number)) * 1.5).cast("string")))
+    hashed = lambda c: F.when(filled, F.pmod(F.xxhash64(c), F.lit(HASH_BINS)).cast("string"))
+    octaves = lambda c: F.when(filled, F.floor(F.log2(F.length(c) + 1) * 2).cast("string"))
+    form, letters = F.col("form"), F.col("classes")
+    share = lambda c: 1 - F.length(F.replace(letters, F.lit(c), F.lit(""))) / F.greatest(F.length(letters), F.lit(1))
     kinds = {
         "state": F.when(v.isNull(), "missing").when(~filled, "placeholder").otherwise("filled"),
         "distinct": F.when(filled, ""),
-        "form": F.when(filled, F.pmod(F.xxhash64(F.substring(written_form(v), 1, 16)), F.lit(HASH_BINS)).cast("string")),
-        "value": F.when(filled, F.pmod(F.xxhash64(v), F.lit(HASH_BINS)).cast("string")),
+        "form": hashed(F.substring(form, 1, START)),
+        "ending": hashed(F.right(form, F.lit(END))),
+        "marks": hashed(F.translate(form, "".join(CLASSES.values()), "")),
+        "runs": octaves(form),
+        **{k: F.when(filled, F.ceil(share(c) * SHARE_BINS).cast("string")) for k, c in CLASSES.items()},
+        "value": hashed(v),
         "number": F.when(filled & number.isNotNull(), magnitude),
         "year": F.when(filled, F.nullif(F.regexp_extract(v, r"(?:^|\D)((?:19|20)\d\d)(?:\D|$)", 1), F.lit(""))),
-        "length": F.when(filled, F.floor(F.log2(F.length(v) + 1) * 2).cast("string")),
+        "length": octaves(v),
     }
-    staged = counts.withColumn("filled", v.isNotNull() & ~is_placeholder(v, blanks)).withColumn("number", F.when(filled & (F.length(v) <= MAX_NUMBER), plain_number(v)))
+    staged = counts.withColumn("filled", v.isNotNull() & ~is_placeholder(v, blanks)).withColumn("number", F.when(filled & (F.length(v) <= MAX_NUMBER), plain_number(v))).withColumn("classes", classes(v)).withColumn("form", written_form(letters))
     cells = staged.select("load", "column_name", F.inline(F.array(*[F.struct(F.lit(k).alias("kind"), b.alias("bin"), (F.lit(1).cast("long") if k == "distinct" else F.col("n")).alias("w")) for k, b in kinds.items()])))
     bins = cells.where("bin is not null").groupBy("load", "column_name", "kind", "bin").agg(F.sum("w").alias("n"))
     if masks is None:
         return bins
     flagged = mask_counts(masks, load).where("load is not null")
-    totals = bins.where("kind = 'state'").groupBy("load", "column_name").agg(F.sum("n").alias("total")).join(flagged, ["load", "column_name"], "left")
+    rows_of = df.groupBy(F.col(f"`{load}`").alias("load")).agg(F.count("*").alias("total")).where("load is not null")
+    totals = rows_of.select("load", "total", F.explode(F.array(*map(F.lit, columns))).alias("column_name")).join(flagged, ["load", "column_name"], "left")
     rows = [F.struct(F.lit(k).alias("kind"), F.lit(b).alias("bin"), n.alias("n")) for k, c in (("failed", "n_failed"), ("review", "n_review")) for b, n in (("yes", F.coalesce(c, F.lit(0)).cast("long")), ("no", F.col("total") - F.coalesce(c, F.lit(0))))]
     return bins.unionByName(totals.select("load", "column_name", F.inline(F.array(*rows))))
 
@@ -106,7 +127,7 @@ def stability(df: DataFrame, load: str, columns: Sequence[str], masks: DataFrame
     bins = cut(histograms(df, load, columns, masks, blanks))  # a few hundred rows per load, read by every step below
     sums = bins.where("kind <> 'distinct'").groupBy("load", "column_name", "kind").agg(F.sum("n").alias("total"))
     n_loads = bins.groupBy("column_name").agg(F.count_distinct("load").alias("loads"))
-    usable = sums.join(sums.where("kind = 'state'").select("load", "column_name", F.col("total").alias("rows")), ["load", "column_name"]).where((F.col("total") >= MIN_KIND_SHARE * F.col("rows")) | (F.col("kind").isin("form", "value", "length")))
+    usable = sums.join(sums.where("kind = 'state'").select("load", "column_name", F.col("total").alias("rows")), ["load", "column_name"]).where((F.col("total") >= MIN_KIND_SHARE * F.col("rows")) | (F.col("kind").isin(*_OF_FILLED)))
     shares = bins.join(usable, ["load", "column_name", "kind"]).withColumn("share", F.col("n") / F.col("total"))
     usual = shares.groupBy("column_name", "kind", "bin").agg(F.median("share").alias("m"), F.count("*").alias("c")).join(n_loads, "column_name")
     usual = usual.select("column_name", "kind", "bin", F.when(F.col("c") * 2 >= F.col("loads"), F.col("m")).otherwise(F.lit(0.0)).alias("usual"))

@@ -31,6 +31,22 @@ def test_missing_scale_and_writing(spark):
     assert changed(spark, lambda p, k, r: ("EUR " + p.replace(".", ","), "c" if r.random() < 0.6 else k)) == [(5, "kind"), (5, "price")]
 
 
+def test_form_of_long_texts_is_seen_whole(spark):
+    """Changes past the first 16 characters of the form, in texts that are all distinct and hardly longer for it."""
+    rng = random.Random(5)
+    words = ["Steel", "bolt", "M8", "zinc", "plated", "Hex", "nut", "A2", "washer", "grade", "10", "Flat"]
+    text = [[" ".join(rng.choice(words) for _ in range(14)) + f" item {load * 1000 + i}" for i in range(400)] for load in range(8)]
+
+    def changed_by(change):
+        rows = [(load, i, change(t) if load == 5 and i % 10 < 4 else t, None, None) for load, ts in enumerate(text) for i, t in enumerate(ts)]
+        return [tuple(r) for r in P.changed_columns(spark.createDataFrame(rows, SCHEMA), "load_no", ["price"]).collect()]
+
+    assert changed_by(lambda t: t) == []
+    middle = lambda t: t[:40] + t[40:].replace(" ", " - ", 1)
+    for change in (lambda t: t + ", V2", lambda t: t + " ", lambda t: t + ".", lambda t: t[:40] + t[40:].upper(), middle):
+        assert changed_by(change) == [(5, "price")]
+
+
 def test_profile(spark):
     rows = [(1, 1, "5", "x", None), (1, 2, "5", " n/a ", ""), (1, 3, "-2.50", None, "é"), (None, 4, "7", "y", "z"), (2, 5, None, None, None)]
     df = spark.createDataFrame(rows, SCHEMA)
