@@ -9,8 +9,10 @@ import hashlib
 import io
 import os
 import re
+import sys
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from itertools import chain
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,6 +82,33 @@ def detect_encoding(head: bytes, whole: bool = True) -> str:
     return "latin-1"
 
 
+def greatest_width(path: str, encoding: str, separator: str) -> int:
+    """Fields of the widest record of a file, which is read to its end and strictly, one record at a time."""
+    limit = csv.field_size_limit(sys.maxsize)
+    try:
+        with open(path, encoding=encoding, newline="") as f:
+            first = re.search("\r\n?|\n", f.read(SAMPLE_BYTES))
+        # As in Spark's reader, a carriage return by itself ends a line only where it ends the first one.
+        with open(path, encoding=encoding, newline=None if first and first[0] == "\r" else "\n") as f:
+            lines, width = (x.rstrip("\r\n").replace("\r", " ") + "\n" for x in f), 1
+            for line in lines:
+                width = max(width, len(next(csv.reader(chain([line], lines), delimiter=separator))) if '"' in line else line.count(separator) + 1)
+        return width
+    finally:
+        csv.field_size_limit(limit)
+
+
+def settle_encoding(path: str, likely: str, separator: str) -> tuple[str, int]:
+    """The encoding of a whole file, given that of its first bytes, and its greatest width. What a mark promises must hold."""
+    unmarked = ["utf-8", "cp1252", "latin-1"]
+    for name in unmarked[unmarked.index(likely) :] if likely in unmarked else [likely]:
+        try:
+            return name, greatest_width(path, name, separator)
+        except UnicodeError as e:
+            error = e
+    raise RuntimeError(f"'{os.path.basename(path)}' begins as {likely} but is not so throughout: {error}")
+
+
 def detect_separator(text: str) -> str:
     """The most frequent of tab, semicolon, bar and comma in the first lines; the earlier of equals; a comma if none."""
     lines = [x for x in text[:SAMPLE_CHARS].splitlines() if x.strip()][:SAMPLE_LINES]
@@ -111,10 +140,11 @@ _CP1252 = ("".join(map(chr, _DEFINED)), "".join(bytes([b]).decode("cp1252") for
 
 
 def load_text(spark: SparkSession, path: str, blanks: Sequence[str] = DISGUISED_BLANKS) -> LoadedFile:
-    """A delimited file as text columns plus ``__row_id``; the header is looked for in the first rows.
+    """A delimited file as text columns plus ``__row_id``; header and separator are looked for in the first rows.
 
-    The file is parsed by Spark's reader with an explicit width, so ragged rows keep their cells and lose none. An empty
-    file raises.
+    The file is parsed by Spark's reader with the width of its widest record, so ragged rows keep their cells and lose none;
+    a record that is wider all the same fails the file. So does one that is not in the encoding of its mark. An empty file
+    raises.
     """
     ext = os.path.splitext(path)[1].lower()
     with open(path, "rb") as f:
@@ -126,16 +156,20 @@ def load_text(spark: SparkSession, path: str, blanks: Sequence[str] = DISGUISED_
     text = codecs.getincrementaldecoder(encoding)("replace").decode(head, final=whole).lstrip("\ufeff")
     separator = "\t" if ext == ".tsv" else detect_separator(text)
     sample = [r for r in csv.reader(io.StringIO(text), delimiter=separator) if r][: HEAD_ROWS if whole else HEAD_ROWS - 1]
+    encoding, whole_width = settle_encoding(path, encoding, separator)
     width = max((len(r) for r in sample), default=1)
     padded = [[*(c if c != "" else None for c in r), *[None] * (width - len(r))] for r in sample]
     header_row = find_header_row(padded)
-    names = N.mangle_header(padded[header_row] if padded else [None])
-    rows = spark.read.schema(_schema(width)).options(sep=separator, quote='"', escape='"', mode="PERMISSIVE", encoding=_CHARSETS[encoding], multiLine="true").csv(path)
+    header = padded[header_row] if padded else [None]
+    width = max(width, whole_width)
+    names = N.mangle_header([*header, *[None] * (width - len(header))])
+    rows = spark.read.schema(_schema(width + 1)).options(sep=separator, quote='"', escape='"', mode="PERMISSIVE", encoding=_CHARSETS[encoding], multiLine="true").csv(path)
     if encoding == "cp1252":
-        rows = rows.select(*[F.translate(f"c{i}", *_CP1252).alias(f"c{i}") for i in range(width)])
+        rows = rows.select(*[F.translate(f"c{i}", *_CP1252).alias(f"c{i}") for i in range(width + 1)])
+    fits = F.when(F.col(f"c{width}").isNotNull(), F.raise_error(F.lit(f"'{os.path.basename(path)}' has a record of more than {width} fields"))).isNull()
     words = na_words(blanks)
     cells = [F.when(~F.col(f"c{i}").isin(words), F.col(f"c{i}")).alias(f"c{i}") for i in range(width)]
-    rows = rows.where(" or ".join(f"c{i} is not null" for i in range(width))).withColumn("__row_id", F.monotonically_increasing_id())
+    rows = rows.where(fits).where(" or ".join(f"c{i} is not null" for i in range(width))).withColumn("__row_id", F.monotonically_increasing_id())
     body = rows.where(F.col("__row_id") > header_row).select("__row_id", *cells)
     return LoadedFile(path, ext, body.toDF("__row_id", *names), header_row, encoding, separator)
 

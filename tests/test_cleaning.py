@@ -1,3 +1,4 @@
+import codecs
 import os
 
 import pytest
@@ -75,6 +76,37 @@ def test_encodings(spark, tmp_path, encoding, detected):
     assert [r["name"] for r in loaded.df.orderBy(ROW).collect()] == ["Größe", "a;b\nc", "€uro"]
 
 
+HEAD = "id,name\n" + "".join(f"{i},some plain name\n" for i in range(12_000))  # longer than the sample
+
+
+def test_records_past_the_head_keep_their_cells(spark, tmp_path):
+    assert len(HEAD) > X.SAMPLE_BYTES
+    path = tmp_path / "w.csv"
+    path.write_text(HEAD + 'x,"a,\r\nb",c,,d\ny,z\n', newline="")
+    last = X.load_text(spark, str(path)).df.orderBy(ROW).collect()[-2:]
+    assert [[None if v is None else v.replace("\r", "") for v in list(r)[1:]] for r in last] == [["x", "a,\nb", "c", None, "d"], ["y", "z", None, None, None]]
+    path.write_text(HEAD + "x,a\rb,c\n", newline="")
+    assert list(X.load_text(spark, str(path)).df.orderBy(ROW).collect()[-1])[1:] == ["x", "a\rb", "c"]
+
+
+def test_wider_than_counted_fails(spark, tmp_path, monkeypatch):
+    path = tmp_path / "w.csv"
+    path.write_text(HEAD + "x,y,z\n")
+    monkeypatch.setattr(X, "greatest_width", lambda *_: 2)
+    with pytest.raises(Exception, match="more than 2 fields"):
+        X.load_text(spark, str(path)).df.collect()
+
+
+def test_encoding_past_the_head(spark, tmp_path):
+    path = tmp_path / "e.csv"
+    path.write_bytes(HEAD.encode() + "x,Größe €\n".encode("cp1252"))
+    loaded = X.load_text(spark, str(path))
+    assert loaded.encoding == "cp1252" and loaded.df.where("name = 'Größe €'").count() == 1
+    path.write_bytes(codecs.BOM_UTF8 + HEAD.encode() + "x,Größe\n".encode("cp1252"))
+    with pytest.raises(RuntimeError, match="e.csv"):
+        X.load_text(spark, str(path))
+
+
 def test_sniffing():
     assert X.detect_encoding("é".encode()[:1], whole=False) == "utf-8" and X.detect_encoding(b"\x81\x8d") == "latin-1" and X.detect_encoding(b"") == "utf-8"
     assert X.detect_separator("a|b|c\n1|2|3\n") == "|" and X.detect_separator("abc") == "," and X.detect_separator("a\tb;c\n") == "\t"
