@@ -5,7 +5,8 @@ alphabet; any other word is one common symbol that no phrase holds. A shard (a b
 is indexed by its suffix order, whose preceding symbols are kept in a wavelet matrix with rank counts, and by suffix
 positions sampled at every 16th place. All phrases of five words of all items are searched backwards at once, one rank
 query per symbol and end; occurrences are located by walking back to a sampled position. Around each occurrence the words
-along near-by diagonals are counted, and what may hold a passage is aligned word by word; passages become removal spans.
+along near-by diagonals are counted, and what may hold a passage is aligned word by word, again and again until the rest
+of the diagonals can hold none; the spans of all passages of a document are merged into its removal spans.
 
 A passage is a stretch of at least 20 words of an item with less than one word in seven changed, left out or put in. Twenty
 words with up to three such edits, and any longer passage, leave five words in a row untouched, so no passage is missed by
@@ -23,7 +24,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 from plumbline.llm.visual_form import one_form
 
@@ -140,21 +142,21 @@ class Items:
         self.uses = np.array([x for v in phrases.values() for x in v], np.int64).reshape(-1, 2)
 
 
-def align(item: list[int], doc: list[int], shift: int, band: int = 12) -> tuple[int, int, int, int] | None:
-    """The longest passage on a path near the diagonal doc = item + shift: (item words, edits, first, last doc word)."""
+def best_path(item: list[int], doc: list[int], shift: int, used: dict[int, set[int]], band: int) -> list[tuple[bool, bool, int, int]]:
+    """The best path near the diagonal doc = item + shift without matches used before: (same, of item, doc word, item word) of its steps."""
     gap, width = 1, 2 * band + 1  # low, so that a passage is followed across edits near its ends; its share of edits is tested below
     best, best_at = 0, None
     above = [0] * (width + 1)
     moves: list[list[int]] = []
     for i, x in enumerate(item):
         now, move = [0] * (width + 1), [0] * width
-        left = -1
+        left, taken = -1, used.get(i, ())
         for k in range(width):
             j = i + shift - band + k
             if not 0 <= j < len(doc):
                 left = -1
                 continue
-            score, how = above[k] + (1 if doc[j] == x else -gap), 1
+            score, how = above[k] + (1 if doc[j] == x and j not in taken else -gap), 1
             if above[k + 1] - gap > score:
                 score, how = above[k + 1] - gap, 2  # a word of the item is left out
             if left - gap > score:
@@ -167,25 +169,72 @@ def align(item: list[int], doc: list[int], shift: int, band: int = 12) -> tuple[
         moves.append(move)
         above = now
     if best_at is None:
-        return None
+        return []
     i, k = best_at
     path = []
     while i >= 0 and 0 <= k < width and moves[i][k]:
         how, j = moves[i][k], i + shift - band + k
-        path.append((how == 1 and doc[j] == item[i], how != 3, j))
+        path.append((how == 1 and doc[j] == item[i] and j not in used.get(i, ()), how != 3, j, i))
         i, k = (i - 1, k) if how == 1 else (i - 1, k + 1) if how == 2 else (i, k - 1)
     path.reverse()
-    found = None
-    for a in range(len(path)):
-        if not path[a][0]:
+    return path
+
+
+def stretches(path: list[tuple[bool, bool, int, int]]) -> list[tuple[int, int, int, int]]:
+    """The passages on a path, the longest first, then those before and after it: (item words, edits, first, last doc word)."""
+    out, parts = [], [(0, len(path))]
+    while parts:
+        lo, hi = parts.pop()
+        if hi - lo < PASSAGE:
             continue
-        used = edits = 0
-        for b in range(a, len(path)):
-            same, of_item, j = path[b]
-            used, edits = used + of_item, edits + (not same)
-            if same and used >= PASSAGE and edits * ONE_IN < used and (found is None or used > found[0]):
-                found = (used, edits, path[a][2], j)
-    return found
+        found = None
+        for a in range(lo, hi):
+            if not path[a][0]:
+                continue
+            used = edits = 0
+            for b in range(a, hi):
+                same, of_item, _, _ = path[b]
+                used, edits = used + of_item, edits + (not same)
+                if same and used >= PASSAGE and edits * ONE_IN < used and (found is None or used > found[0]):
+                    found = (used, edits, a, b)
+        if found:
+            used, edits, a, b = found
+            out.append((used, edits, path[a][2], path[b][2]))
+            parts += [(lo, a), (b + 1, hi)]
+    return out
+
+
+def align(item: list[int], doc: list[int], shift: int, band: int = 12) -> list[tuple[int, int, int, int]]:
+    """All passages near the diagonal doc = item + shift: (item words, edits, first, last doc word).
+
+    The best path is taken out and the next one looked for, until too little is left for any passage: the matches of one
+    outnumber its edits by 16 at least (20 words with 2, 22 with 3).
+    """
+    out, used = [], {}
+    while _rest_may_hold(item, doc, shift, used, band):
+        path = best_path(item, doc, shift, used, band)
+        if sum(1 if step[0] else -1 for step in path) < PASSAGE - 4:
+            break
+        out += stretches(path)
+        for same, _, j, i in path:
+            if same:
+                used.setdefault(i, set()).add(j)
+    return out
+
+
+def _rest_may_hold(item: list[int], doc: list[int], shift: int, used: dict[int, set[int]], band: int) -> bool:
+    """Whether at least 16 in some 20 words of the item are still found near the diagonal. Words 0 and 1 are in no item."""
+    held = []
+    for i, x in enumerate(item):
+        lo, hi = max(0, i + shift - band), max(0, i + shift + band + 1)
+        near = doc[lo:hi]
+        held.append(near.count(x) > sum(lo <= j < hi for j in used.get(i, ())))
+    n = sum(held[:PASSAGE])
+    most = n
+    for i in range(PASSAGE, len(held)):
+        n += held[i] - held[i - PASSAGE]
+        most = max(most, n)
+    return most >= PASSAGE - 4
 
 
 def _shard(ids: list[object], docs: list[np.ndarray], items: Items) -> list[tuple[object, object, int, int, int, int]]:
@@ -220,8 +269,7 @@ def _shard(ids: list[object], docs: list[np.ndarray], items: Items) -> list[tupl
         if any(abs(s - other) <= BAND for other in seen.setdefault((d, i), [])):
             continue
         seen[d, i].append(s)
-        if passage := align(items.words[i].tolist(), docs[d].tolist(), s):
-            out.append((ids[d], items.ids[i], *passage))
+        out += [(ids[d], items.ids[i], *passage) for passage in align(items.words[i].tolist(), docs[d].tolist(), s)]
     return out
 
 
@@ -291,3 +339,12 @@ def passages(df: DataFrame, key: str, text: str, benchmark: DataFrame, item_key:
         part = docs.mapInArrow(search(block), schema)
         result = part if result is None else result.unionByName(part)
     return result
+
+
+def removal_spans(passages: DataFrame) -> DataFrame:
+    """(doc_id, first_word, last_word): the words of each document that are in any passage, as spans that do not touch."""
+    in_order = Window.partitionBy("doc_id").orderBy("first_word", "last_word")
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    starts = passages.withColumn("starts", F.coalesce(F.col("first_word") > F.max("last_word").over(before) + 1, F.lit(True)))
+    spans = starts.withColumn("span", F.count_if("starts").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
+    return spans.groupBy("doc_id", "span").agg(F.min("first_word").alias("first_word"), F.max("last_word").alias("last_word")).drop("span")

@@ -62,6 +62,10 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return p8_passages(spark, folder).select("doc_id", "item_id").distinct()
 
 
+def p8_removal(spark: SparkSession, folder: str) -> DataFrame:
+    return leakage.removal_spans(p8_passages(spark, folder))
+
+
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return text_quality.find_not_prose(table(spark, folder, "documents"), "doc_id", "text", text_quality.common_words(table(spark, folder, "common_words")))
 
@@ -71,7 +75,7 @@ def p9_figures(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_one_form, p3_found, p3_built, p6_found, p6_collapsed, p7_ids, p8_found, p8_passages, p9_found, p9_figures)}
+    return {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_one_form, p3_found, p3_built, p6_found, p6_collapsed, p7_ids, p8_found, p8_passages, p8_removal, p9_found, p9_figures)}
 
 
 _WORDS = r"regexp_extract_all(lower(t), '[\p{L}\p{M}]+')"

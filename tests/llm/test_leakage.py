@@ -71,3 +71,25 @@ def test_blocks_of_items(spark, monkeypatch):
     docs = [(i, t) for i, t in ITEMS[:8]]
     monkeypatch.setattr(L, "ITEMS_PER_BLOCK", 3)
     assert found(spark, docs) == [(i, i) for i in range(1, 9)]
+
+
+def test_several_passages_near_one_diagonal(spark):
+    item = [f"w{i}" for i in range(80)]
+    text = " ".join([*item[:25], *[f"other{i}" for i in range(25)], *item[50:]])
+    df, bench = spark.createDataFrame([(1, text)], "doc_id long, text string"), spark.createDataFrame([(7, " ".join(item)), (8, " ".join(item[5:40]))], "item_id long, text string")
+    got = L.passages(df, "doc_id", "text", bench, "item_id", "text")
+    assert sorted(tuple(r) for r in got.collect()) == [(1, 7, 25, 0, 0, 24), (1, 7, 30, 0, 50, 79), (1, 8, 20, 0, 5, 24)]
+    assert sorted(tuple(r) for r in L.removal_spans(got).collect()) == [(1, 0, 24), (1, 50, 79)]
+
+
+def test_passage_beside_a_better_path_that_holds_none():
+    item = list(range(2, 167))
+    poor = [1 if i % 5 == 4 else x for i, x in enumerate(item[:80])]
+    assert L.align(item, poor + [1] * 60 + item[140:], 0) == [(25, 0, 140, 164)]
+    assert L.align(item, poor + [1] * 60, 0) == []
+
+
+def test_removal_spans_are_merged(spark):
+    rows = [(1, 0, 20), (1, 5, 9), (1, 15, 40), (1, 41, 60), (1, 62, 90), (2, 3, 30)]
+    got = L.removal_spans(spark.createDataFrame(rows, "doc_id long, first_word int, last_word int"))
+    assert sorted(tuple(r) for r in got.collect()) == [(1, 0, 60), (1, 62, 90), (2, 3, 30)]
