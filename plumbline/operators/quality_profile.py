@@ -29,8 +29,9 @@ NOISE_FACTOR = 3.0
 DISTINCT_LIMIT = 0.2
 HASH_BINS = 32
 MIN_KIND_SHARE = 0.3
-#: No plain number is written longer.
-MAX_NUMBER = 40
+_DROPPED = "£$€¥, ()"
+#: Characters of a plain number and of what is dropped around it: other values are no numbers, seen at their first other character.
+MAY_BE_NUMBER = rf"^[-+.0-9eE{_DROPPED}]+$"
 #: Characters of a written form that its start and its end take; the other histograms of form take it whole.
 START, END = 16, 4
 SHARE_BINS = 8
@@ -58,7 +59,7 @@ def written_form(classes: Column) -> Column:
 
 def plain_number(c: Column) -> Column:
     """A rough number for ranges and magnitudes: signs of currency, commas, blanks and brackets are dropped."""
-    return let(F.translate(c, "£$€¥, ()", ""), lambda s: F.when(s.rlike(NUMBER), s.try_cast("double")))
+    return let(F.translate(c, _DROPPED, ""), lambda s: F.when(s.rlike(NUMBER), s.try_cast("double")))
 
 
 def profile(df: DataFrame, load: str, columns: Sequence[str], masks: DataFrame | None = None, blanks: Sequence[str] = DISGUISED_BLANKS) -> DataFrame:
@@ -110,7 +111,7 @@ def histograms(df: DataFrame, load: str, columns: Sequence[str], masks: DataFram
         "year": F.when(filled, F.nullif(F.regexp_extract(v, r"(?:^|\D)((?:19|20)\d\d)(?:\D|$)", 1), F.lit(""))),
         "length": octaves(v),
     }
-    staged = counts.withColumn("filled", v.isNotNull() & ~is_placeholder(v, blanks)).withColumn("number", F.when(filled & (F.length(v) <= MAX_NUMBER), plain_number(v))).withColumn("classes", classes(v)).withColumn("form", written_form(letters))
+    staged = counts.withColumn("filled", v.isNotNull() & ~is_placeholder(v, blanks)).withColumn("number", F.when(filled & v.rlike(MAY_BE_NUMBER), plain_number(v))).withColumn("classes", classes(v)).withColumn("form", written_form(letters))
     cells = staged.select("load", "column_name", F.inline(F.array(*[F.struct(F.lit(k).alias("kind"), b.alias("bin"), (F.lit(1).cast("long") if k == "distinct" else F.col("n")).alias("w")) for k, b in kinds.items()])))
     bins = cells.where("bin is not null").groupBy("load", "column_name", "kind", "bin").agg(F.sum("w").alias("n"))
     if masks is None:

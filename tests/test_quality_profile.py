@@ -47,6 +47,12 @@ def test_form_of_long_texts_is_seen_whole(spark):
         assert changed_by(change) == [(5, "price")]
 
 
+def test_long_numbers_have_magnitudes(spark):
+    rows = [(1, i, v, None, None) for i, v in enumerate(["£ (7.5)" + " " * 60, "9", "0" * 50 + "8", "7 mm", "e" * 50])]
+    bins = P.histograms(spark.createDataFrame(rows, SCHEMA), "load_no", ["price"], None, P.DISGUISED_BLANKS).where("kind = 'number'")
+    assert sorted((r.bin, r.n) for r in bins.collect()) == [("+4", 3)]
+
+
 def test_profile(spark):
     rows = [(1, 1, "5", "x", None), (1, 2, "5", " n/a ", ""), (1, 3, "-2.50", None, "é"), (None, 4, "7", "y", "z"), (2, 5, None, None, None)]
     df = spark.createDataFrame(rows, SCHEMA)
