@@ -27,8 +27,11 @@ CATEGORY_MAPPINGS = {
 }
 PHONE_TOKENS = ("phone", "telephone", "tel", "mobile", "cell", "fax")
 PHONE_NAMES = ("number", "phonenumber")
-TRUE_WORDS = ("true", "yes", "y", "t", "1", "on", "active", "enabled")
-FALSE_WORDS = ("false", "no", "n", "f", "0", "off", "inactive", "disabled")
-STATE_WORDS = ("on", "off", "active", "inactive", "enabled", "disabled")
+TRUE_WORDS = ("true", "t", "yes", "y", "1", "active", "enabled", "on")
+FALSE_WORDS = ("false", "f", "no", "n", "0", "inactive", "disabled", "off")
+STATE_WORDS = ("active", "inactive", "enabled", "disabled", "on", "off")
+CLEAR_FLAG_WORDS = ("true", "false", "yes", "no")
+FLAG_NAME_TOKENS = ("flag", "enabled", "active", "boolean", "bool", "yn")
+TOTAL_LABELS = ("total", "totals", "grand total", "grand totals", "subtotal", "sub-total", "sub total", "grand subtotal", "grand sub-total", "grand sub total")
 #: Unicode white space as Python's str.strip() sees it.
 WHITESPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"

@@ -15,18 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.config import CATEGORY_MAPPINGS, FALSE_WORDS, STATE_WORDS, TRUE_WORDS
+from plumbline.functions import grammar as G
 from plumbline.functions.blanks import is_placeholder, strip
 from plumbline.functions.names import tokens
 
-NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-YEAR_FIRST = r"^([0-9]{4})[-/.]([0-9]{1,2})[-/.]([0-9]{1,2})([T\s].*)?$"
-COMPACT = r"^((?:19|20)[0-9]{2})([0-9]{2})([0-9]{2})$"
-YEAR_LAST = r"^([0-9]{1,2})[-/. ]([0-9]{1,2})[-/. ]([0-9]{4})(\s+[0-9]{1,2}:.*)?$"
-SHORT_YEAR = r"^([0-9]{1,2})[-/.]([0-9]{1,2})[-/.]([0-9]{2})$"
-DAY_MONTH = r"(?i)^([0-9]{1,2})(?:st|nd|rd|th)?[-\s]+([a-z]{3,9})[,-]?[-\s]*([0-9]{4})(\s+[0-9]{1,2}:.*)?$"
-MONTH_DAY = r"(?i)^([a-z]{3,9})\.?\s+([0-9]{1,2})(?:st|nd|rd|th)?,?\s+([0-9]{4})(\s+[0-9]{1,2}:.*)?$"
-MONTHS = r"(?i)^(jan(uary)?|feb(ruary)?|mar(ch)?|apr(il)?|may|june?|july?|aug(ust)?|sept?(ember)?|oct(ober)?|nov(ember)?|dec(ember)?)$"
-MONTH_STARTS = "janfebmaraprmayjunjulaugsepoctnovdec"
+NUMBER = G.NUMBER
 PHONE_LIKE = r"^[\s()+\-.0-9]{5,}$"
 
 
@@ -93,7 +86,7 @@ def _unsigned(s: Column) -> Column:
     """Brackets and trailing minus as a leading minus, dashes as minus, currency signs gone."""
     inner, before = strip(F.substr(s, F.lit(2), F.length(s) - 2)), strip(F.substr(s, F.lit(1), F.length(s) - 1))
     signed = F.when(s.startswith("(") & s.endswith(")") & (F.length(s) > 1), F.concat(F.lit("-"), inner)).when(s.endswith("-") & ~s.startswith("-"), F.concat(F.lit("-"), before)).otherwise(s)
-    return F.translate(signed, "\u2212\u2013\u2014£$€¥", "---")
+    return F.translate(signed, G.DASHES + G.CURRENCY_SIGNS, "-" * len(G.DASHES))
 
 
 def _unseparated(s: Column) -> Column:
@@ -106,8 +99,8 @@ def _unseparated(s: Column) -> Column:
 
 
 def to_number(c: Column) -> Column:
-    """Strictly a number, else null. Spark's own cast also takes type suffixes."""
-    return let(strip(c), lambda s: F.when(s.rlike(NUMBER), s.try_cast("double")))
+    """Strictly a number or a word for infinity, else null. Spark's own cast also takes type suffixes and "not a number"."""
+    return let(strip(c), lambda s: F.when(s.rlike(NUMBER) | s.rlike(G.INFINITE), s.try_cast("double")))
 
 
 def to_money(c: Column) -> Column:
@@ -119,9 +112,27 @@ def to_percentage(c: Column) -> Column:
 
 
 def number_text(c: Column) -> Column:
-    """A number as text: integral values without a point, no exponent below 1e16."""
-    whole = (c == F.floor(c)) & (F.abs(c) < 1e16)
-    return F.when(whole, c.cast("decimal(38,0)").cast("string")).otherwise(c.cast("string"))
+    """A number as text: integral values without a point, others with all their digits and, as people write them, without
+    an exponent from 1e-4 up to 1e16; beyond that an exponent of at least two digits, as in ``1e+16`` and ``1e-05``."""
+    return let(c.cast("double"), _number_text)
+
+
+def _number_text(x: Column) -> Column:
+    size = F.abs(x)
+    written = let(x.cast("string"), lambda t: F.when(t.contains("E"), let(F.format_string("%.15E", x), lambda r: _exponent_text(x, F.when(r.cast("double") == x, r).otherwise(t)))).otherwise(t))
+    return F.when(F.isnan(x), "nan").when(size == float("inf"), F.when(x > 0, "inf").otherwise("-inf")).when((x == F.floor(x)) & (size < 1e16), x.cast("decimal(38,0)").cast("string")).otherwise(written)
+
+
+def _exponent_text(x: Column, t: Column) -> Column:
+    """``t`` is a writing of x with an exponent: its digits are kept, its point is moved or its exponent rewritten."""
+    digits = F.regexp_replace(F.regexp_replace(F.split_part(t, F.lit("E"), F.lit(1)), r"^-|\.", ""), "(?<=.)0+$", "")
+    power = F.split_part(t, F.lit("E"), F.lit(2)).cast("int")
+    sign = F.when(x < 0, "-").otherwise("")
+    after = F.substr(digits, F.lit(2), F.length(digits))
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
+    large = F.concat(F.substr(digits, F.lit(1), power + 1), F.lit("."), F.substr(digits, power + 2, F.length(digits)))
+    exponent = F.concat(F.substr(digits, F.lit(1), F.lit(1)), F.when(after != "", F.concat(F.lit("."), after)).otherwise(""), F.when(power < 0, "e-").otherwise("e+"), F.lpad(F.abs(power).cast("string"), F.greatest(F.lit(2), F.length(F.abs(power).cast("string"))), F.lit("0")))
+    return F.concat(sign, F.when((power < 0) & (power >= -4), small).when((power >= 0) & (power < 16), large).otherwise(exponent))
 
 
 def flag_words(name: str, mappings: Mapping[str, Mapping[str, str]] = CATEGORY_MAPPINGS) -> tuple[tuple[str, ...], tuple[str, ...]]:
@@ -140,32 +151,27 @@ def to_flag(c: Column, name: str = "") -> Column:
     return F.when(flag_key(c).isin(*true), "Y").when(flag_key(c).isin(*false), "N")
 
 
-def _date(year: Column, month: Column, day: Column) -> Column:
-    return F.concat_ws("-", year, month, day).try_cast("date")
-
-
 def to_date_uk(c: Column) -> Column:
     """A calendar date: year first as written, otherwise day first, month first only where day first is no date."""
     return let(strip(c), _date_of)
 
 
 def _date_of(s: Column) -> Column:
-    part = lambda pattern, i: F.regexp_extract(s, pattern, i)
-
-    def month(pattern: str, i: int) -> Column:
-        name = part(pattern, i)
-        return F.when(name.rlike(MONTHS), F.floor((F.position(F.lower(F.substring(name, 1, 3)), F.lit(MONTH_STARTS)) + 2) / 3).cast("string"))
-
-    numeric = lambda p: F.coalesce(_date(part(p, 3), part(p, 2), part(p, 1)), _date(part(p, 3), part(p, 1), part(p, 2)))
-    century = F.concat(F.when(part(SHORT_YEAR, 3) < "69", "20").otherwise("19"), part(SHORT_YEAR, 3))
-    return (
-        F.when(s.rlike(YEAR_FIRST), _date(part(YEAR_FIRST, 1), part(YEAR_FIRST, 2), part(YEAR_FIRST, 3)))
-        .when(s.rlike(COMPACT), _date(part(COMPACT, 1), part(COMPACT, 2), part(COMPACT, 3)))
-        .when(s.rlike(YEAR_LAST), numeric(YEAR_LAST))
-        .when(s.rlike(SHORT_YEAR), F.coalesce(_date(century, part(SHORT_YEAR, 2), part(SHORT_YEAR, 1)), _date(century, part(SHORT_YEAR, 1), part(SHORT_YEAR, 2))))
-        .when(s.rlike(DAY_MONTH), _date(part(DAY_MONTH, 3), month(DAY_MONTH, 2), part(DAY_MONTH, 1)))
-        .when(s.rlike(MONTH_DAY), _date(part(MONTH_DAY, 3), month(MONTH_DAY, 1), part(MONTH_DAY, 2)))
-    )
+    result = None
+    for style in G.DATE_STYLES:
+        found, date = s.rlike(style.pattern), _date(s, style)
+        result = F.when(found, date) if result is None else result.when(found, date)
+    return result
+
+
+def _date(s: Column, style: G.DateStyle) -> Column:
+    year, month, day = (F.regexp_extract(s, style.pattern, i) for i in (style.year, style.month, style.day))
+    if style.named_month:
+        month = F.floor((F.position(F.lower(F.substring(month, 1, 3)), F.lit(G.MONTH_STARTS)) + 2) / 3).cast("string")
+    century = F.when(F.length(year) == 4, "").when(year < str(G.PIVOT_YEAR), "20").otherwise("19")
+    whole = F.nullif(F.concat(century, year), F.lit("0000"))
+    orders = [(month, day), (day, month)][: 1 + style.either_order]
+    return F.coalesce(*[F.concat(whole, F.lit("-"), m, F.lit("-"), d).try_cast("date") for m, d in orders])
 
 
 def date_text(c: Column) -> Column:

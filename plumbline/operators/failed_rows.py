@@ -1,40 +1,46 @@
 """Rows that fail to parse: load the valid records of delimited text, and say why the others fail.
 
-Each file's separator and header are settled from a bounded head of its records; the small layout table is joined back to
-all records, so a file of any size is parsed in parallel, record by record. A record is read by a minimum-cost parse: its
-text is cut at every separator, and dynamic programming over (fields done, pieces used) joins pieces to fields, each field
-paying for quotes that have to be put in or taken out, for separators taken out of or put into the record, and for a value
-that does not fit its column. A record of cost zero is loaded; the operations of any other are its reason. Records of cost
-zero are recognised by a strict reading first, which is the same parse without edits.
+Separator and header of each file are settled from all of its records by aggregates, and the table of layouts is joined back
+to the records, so a file of any size is parsed in parallel, record by record. A record is read by a minimum-cost parse: its
+text is cut at every separator, and dynamic programming over (pieces used, fields done, inside quotes or not), in the order
+of cost, joins pieces to fields. Each field pays for quotes that have to be put in or taken out, for separators taken out of
+or put into the record, and for a value that does not fit its column. A record of cost zero is loaded; the operations of any
+other are its reason. Where built-in expressions can tell that the cost is zero (the quoting is plain, the number of fields
+is right and every value fits its column), the record is loaded without leaving the JVM.
 
 Defined cases: a null, empty or separators-only record is blank, a repeated header is skipped, records above the header
 are filler; none of these is loaded or failed. A file without any header-like record takes its first record as header.
-Equal records are read alike; a record without file or number has no place in a file and is left out. Very long records are read whole; above 200 pieces the reason counts fields only.
+Equal records are read alike; a record without file or number has no place in a file and is left out. Records of any
+length and any number of fields are parsed whole.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.config import APP_NUMBER_KEYWORDS
+from plumbline.config import APP_NUMBER_KEYWORDS, WHITESPACE
+from plumbline.functions import grammar as G
+from plumbline.functions import values as V
+from plumbline.functions.blanks import is_placeholder, strip
 from plumbline.functions.scalars import blank_or_placeholder, is_flag, parse_date, parse_number
+from plumbline.plans.lineage import cut, join_to_keys
 
 SEPARATORS = "\t;|,"
-HEAD_RECORDS = 64
 HEADER_FILL, HEADER_TEXT = 0.5, 0.7
-MAX_PIECES = 200
 COST_SEPARATOR, COST_QUOTE, COST_VALUE = 1.0, 1.0, 1.5
 
 #: Column name (normalised) to the test a value must pass.
 COLUMN_TESTS = {"quantity": "number", "weight": "number", "unit_price": "number", "order_date": "date", "is_active": "flag"}
 _TESTS = {"number": lambda v: parse_number(v) is not None, "date": lambda v: parse_date(v) is not None, "flag": is_flag}
+_COLUMN_TESTS = {"number": V.to_money, "date": V.to_date_uk, "flag": V.to_flag}
 
 
 def column_name(header: str) -> str:
@@ -87,88 +93,145 @@ def is_header_like(cell: str) -> bool:
     return False
 
 
-def settle_layout(records: list[str]) -> tuple[str, int, list[str]]:
-    """Separator, position of the header and header cells of a file, from its first records."""
-    counts = {s: 0 for s in SEPARATORS}
-    for text in records:
-        bare = re.sub(r'"[^"]*"', "", text)
-        for s in SEPARATORS:
-            counts[s] += bare.count(s)
-    sep = max(SEPARATORS, key=lambda s: counts[s])
-    if not counts[sep]:
-        sep = ","
-    rows = [split_strict(text, sep)[0] for text in records]
-    widths: dict[int, int] = {}
-    for row in rows:
-        if row and any(x.strip() for x in row):
-            widths[len(row)] = widths.get(len(row), 0) + 1
-    width = max(widths, key=lambda w: (widths[w], w)) if widths else 1
-    full = [i for i, row in enumerate(rows) if row and sum(bool(x.strip()) for x in row) >= HEADER_FILL * width]
-    for i in full:
-        cells = [x for x in rows[i] if x.strip()]
-        if sum(map(is_header_like, cells)) >= HEADER_TEXT * len(cells):
-            return sep, i, rows[i]
-    at = full[0] if full else 0
-    return sep, at, (rows[at] if rows and rows[at] else [""])
-
-
-def _field(text: str) -> tuple[float, str, list[str]]:
-    """Cheapest well-formed reading of a stretch of a record as one field: cost, value, edits."""
-    if '"' not in text:
-        return 0.0, text, []
-    readings = [(COST_QUOTE * text.count('"'), text.replace('"', ""), ["take out a quote"] * text.count('"'))]
-    edits, body = [], text
-    if body.startswith('"'):
-        body = body[1:]
-    else:
-        edits.append("put in an opening quote")
-    if body.endswith('"') and (len(body) - len(body.rstrip('"'))) % 2:
-        body = body[:-1]
-    else:
-        edits.append("put in a closing quote")
-    stray = body.replace('""', "").count('"')
-    readings.append((COST_QUOTE * (len(edits) + stray), body.replace('""', '"'), edits + ["double a quote"] * stray))
-    return min(readings, key=lambda r: r[0])
+def header_like(cell: Column) -> Column:
+    """As ``is_header_like``."""
+    bare = F.translate(cell, G.CURRENCY_SIGNS + "%," + WHITESPACE, "")
+    return (strip(cell) != "") & ~(bare.rlike(G.NUMBER) | bare.rlike(G.INFINITE) | bare.rlike("(?i)^[+-]?nan$") | bare.rlike(r"^[+-]?[0-9]+(_[0-9]+)+(\.[0-9]*)?$"))
+
+
+def _stray(text: str) -> int:
+    """Quotes of a quoted stretch that are not doubled."""
+    return text.replace('""', "").count('"')
+
+
+def _quoted(piece: str, first: bool, last: bool) -> tuple[float, str, list[str]]:
+    """A piece of a quoted field, as its first or last piece or between: cost, text, edits."""
+    edits = []
+    if first:
+        if piece.startswith('"'):
+            piece = piece[1:]
+        else:
+            edits.append("put in an opening quote")
+    if last:
+        if (len(piece) - len(piece.rstrip('"'))) % 2:
+            piece = piece[:-1]
+        else:
+            edits.append("put in a closing quote")
+    edits += ["double a quote"] * _stray(piece)
+    return COST_QUOTE * len(edits), piece.replace('""', '"'), edits
+
+
+def _merged(pieces: list[str], sep: str, quoted: bool) -> tuple[float, str, list[str]]:
+    """Pieces read as one field, quoted or not: cost, value, edits."""
+    if not quoted:
+        quotes = sum(p.count('"') for p in pieces)
+        edits = ["take out a quote"] * quotes + ["take out a separator"] * (len(pieces) - 1)
+        return COST_QUOTE * quotes + COST_SEPARATOR * (len(pieces) - 1), sep.join(pieces).replace('"', ""), edits
+    parts = [_quoted(p, i == 0, i == len(pieces) - 1) for i, p in enumerate(pieces)]
+    return sum(c for c, _, _ in parts), sep.join(t for _, t, _ in parts), [e for _, _, es in parts for e in es]
+
+
+def _may_be_quoted(first: str, last: str) -> bool:
+    return first.startswith('"') or last.endswith('"')
+
+
+#: What was one number, date or word before separators cut it has no more characters than this, runs of blanks counted as
+#: one. A single piece may have any length.
+LONGEST_BROKEN_VALUE = 64
+
+
+def _fitting(pieces: list[str], start: int, sep: str, test: str) -> Iterator[tuple[int, bool, float]]:
+    """(end, quoted, cost) of every stretch from ``start`` that fits a typed column as one field."""
+    bare = ""
+    for end in range(start + 1, len(pieces) + 1):
+        stretch = pieces[start:end]
+        for quoted in (False, True) if _may_be_quoted(stretch[0], stretch[-1]) else (False,):
+            cost, value, _ = _merged(stretch, sep, quoted)
+            if fits(value, test):
+                yield end, quoted, cost
+        bare = re.sub(r"\s+", " ", bare + sep + stretch[-1].replace('"', ""))
+        if len(bare.strip()) > LONGEST_BROKEN_VALUE:
+            return
+
+
+BETWEEN, UNQUOTED, QUOTED, QUOTE_PUT_IN = range(4)
 
 
 def cheapest_parse(text: str, sep: str, tests: list[str | None]) -> tuple[float, list[str], list[str]]:
-    """Cost, values and edits of the cheapest reading of a record as ``len(tests)`` fields."""
+    """Cost, values and edits of the cheapest reading of a record as ``len(tests)`` fields.
+
+    States are settled in the order of their cost plus the separators that are still to be put in or taken out at least, so
+    a record that is nearly well formed takes little more than one state for each of its pieces.
+    """
     pieces, n = text.split(sep), len(tests)
     m = len(pieces)
-    if m > MAX_PIECES:
-        return COST_SEPARATOR * abs(m - n) or 1.0, [], [f"{m} fields instead of {n}"]
-    fields: dict[tuple[int, int], tuple[float, str, list[str]]] = {}
-    best: list[dict[int, tuple[float, int]]] = [{0: (0.0, 0)}]
-    for k in range(n):
-        here: dict[int, tuple[float, int]] = {}
-        for i, (paid, _) in best[k].items():
-            cost = paid + COST_SEPARATOR  # a separator is put in: this field is empty
-            if i not in here or cost < here[i][0]:
-                here[i] = (cost, i)
-            for j in range(i + 1, m + 1):
-                if (i, j) not in fields:
-                    fields[i, j] = _field(sep.join(pieces[i:j]))
-                own, value, edits = fields[i, j]
-                quoted = '"' in sep.join(pieces[i:j]) and "take out a quote" not in edits
-                cost = paid + own + (0.0 if quoted else COST_SEPARATOR * (j - i - 1)) + (0.0 if fits(value, tests[k]) else COST_VALUE)
-                if j not in here or cost < here[j][0]:
-                    here[j] = (cost, i)
-        best.append(here)
-    if m not in best[n]:
-        return COST_SEPARATOR * abs(m - n) or 1.0, [], [f"{m} fields instead of {n}"]
-    cost, values, edits, j = best[n][m][0], [], [], m
-    for k in range(n, 0, -1):
-        i = best[k][j][1]
-        if i == j:
+    last_quote = max((i for i, p in enumerate(pieces) if '"' in p), default=-1)
+
+    def least(j: int, k: int, mode: int) -> float:
+        missing = (n - k - (mode != BETWEEN)) - (m - j)
+        return COST_SEPARATOR * (missing if missing > 0 else 0 if mode >= QUOTED or j <= last_quote else -missing)
+
+    def moves(j: int, k: int, mode: int) -> Iterator[tuple[float, tuple[int, int, int], tuple]]:
+        """(cost, state, (end of field or None, quoted, misfit)) one step away."""
+        if mode == BETWEEN:
+            if k == n:
+                return
+            yield COST_SEPARATOR, (j, k + 1, BETWEEN), ("empty",)
+            if j == m:
+                return
+            piece, misfit = pieces[j], 0.0
+            if tests[k] is not None:
+                for end, quoted, cost in _fitting(pieces, j, sep, tests[k]):
+                    yield cost, (end, k + 1, BETWEEN), ("fits", j, quoted)
+                misfit = COST_VALUE
+            yield misfit + COST_QUOTE * piece.count('"'), (j + 1, k, UNQUOTED), ("begin",)
+            if _may_be_quoted(piece, piece):
+                yield misfit + _quoted(piece, True, True)[0], (j + 1, k + 1, BETWEEN), ("single",)
+            if j < last_quote:
+                yield misfit + _quoted(piece, True, False)[0], (j + 1, k, QUOTED if piece.startswith('"') else QUOTE_PUT_IN), ("begin",)
+        elif mode == UNQUOTED:
+            yield 0.0, (j, k + 1, BETWEEN), ("end", False)
+            if j < m:
+                yield COST_SEPARATOR + COST_QUOTE * pieces[j].count('"'), (j + 1, k, UNQUOTED), ("more",)
+        elif j < m:
+            yield _quoted(pieces[j], False, False)[0], (j + 1, k, mode), ("more",)
+            if mode == QUOTED or pieces[j].endswith('"'):
+                yield _quoted(pieces[j], False, True)[0], (j + 1, k + 1, BETWEEN), ("end", True)
+
+    start, goal = (0, 0, BETWEEN), (m, n, BETWEEN)
+    paid, came, settled, serial = {start: 0.0}, {}, set(), 0
+    queue = [(least(*start), 0, 0, start)]
+    while queue:
+        state = heapq.heappop(queue)[3]
+        if state == goal:
+            break
+        if state in settled:
+            continue
+        settled.add(state)
+        for cost, after, how in moves(*state):
+            total = paid[state] + cost
+            if total < paid.get(after, float("inf")):
+                paid[after], came[after] = total, (state, how)
+                settled.discard(after)
+                serial += 1
+                heapq.heappush(queue, (total + least(*after), -after[0], serial, after))
+    values, edits, state, end, quoted = [], [], goal, None, False
+    while state != start:
+        before, how = came[state]
+        if how[0] == "empty":
             values.append("")
-            edits.append("put in a separator")
-        else:
-            _, value, own = fields[i, j]
-            quoted = '"' in sep.join(pieces[i:j]) and "take out a quote" not in own
-            edits += [*([] if fits(value, tests[k - 1]) else [f"value {value[:40]!r} does not fit column {k}"]), *own, *([] if quoted else ["take out a separator"] * (j - i - 1))]
+            edits.append(["put in a separator"])
+        elif how[0] == "end":
+            end, quoted = state[0], how[1]
+        elif how[0] in ("fits", "single", "begin"):
+            stretch = pieces[before[0] : state[0] if end is None else end]
+            _, value, own = _merged(stretch, sep, how[0] == "single" or (how[2] if how[0] == "fits" else quoted))
+            misfit = tests[before[1]] is not None and how[0] != "fits"
             values.append(value)
-        j = i
-    return cost, values[::-1], edits[::-1]
+            edits.append(([f"value {value[:40]!r} does not fit column {before[1] + 1}"] if misfit else []) + own)
+            end = None
+        state = before
+    return paid[goal], values[::-1], [e for es in reversed(edits) for e in es]
 
 
 @lru_cache(maxsize=10_000)
@@ -181,61 +244,130 @@ def read_record(text: str | None, sep: str, names: Iterable[str]) -> tuple[str,
     names = tuple(names)
     if text is None or not text.replace(sep, "").strip():
         return "blank", None, None, 0.0
-    tests = _tests_of(names)
-    values, wrong = split_strict(text, sep)
-    if values is not None and not any(v.strip() for v in values):
+    strict, wrong = split_strict(text, sep)
+    if strict is not None and not any(v.strip() for v in strict):
         return "blank", None, None, 0.0
-    if values is not None and len(values) == len(names):
-        if tuple(map(column_name, values)) == names:
-            return "header", None, None, 0.0
-        bad = [n for n, v, t in zip(names, values, tests) if not fits(v, t)]
-        if not bad:
-            return "loaded", values, None, 0.0
-        wrong = "invalid value in " + ", ".join(bad)
-    elif values is not None:
-        wrong = f"{len(values)} fields instead of {len(names)}"
-    cost, repaired, edits = cheapest_parse(text, sep, tests)
-    return "failed", repaired or None, f"{wrong}: " + "; ".join(edits), cost
-
-
-_LAYOUT = T.StructType([T.StructField("sep", T.StringType()), T.StructField("header_no", T.IntegerType()), T.StructField("names", T.ArrayType(T.StringType()))])
+    if strict is not None and tuple(map(column_name, strict)) == names:
+        return "header", None, None, 0.0
+    tests = _tests_of(names)
+    cost, values, edits = cheapest_parse(text, sep, tests)
+    if cost == 0:
+        return "loaded", values, None, 0.0
+    if strict is not None and len(strict) != len(names):
+        wrong = f"{len(strict)} fields instead of {len(names)}"
+    elif strict is not None:
+        wrong = "invalid value in " + ", ".join(n for n, v, t in zip(names, strict, tests) if not fits(v, t))
+    return "failed", values, f"{wrong}: " + "; ".join(edits), cost
+
+
 _READ = T.StructType([T.StructField("kind", T.StringType()), T.StructField("values", T.ArrayType(T.StringType())), T.StructField("reason", T.StringType()), T.StructField("cost", T.DoubleType())])
 
 
-@F.pandas_udf(_LAYOUT)
-def _layout_udf(heads: pd.Series) -> pd.DataFrame:
-    rows = []
-    for head in heads:
-        ordered = sorted(((r["no"], r["text"]) for r in head), key=lambda r: r[0])
-        sep, at, cells = settle_layout([text or "" for _, text in ordered])
-        rows.append((sep, ordered[at][0], [column_name(x) for x in cells]))
-    return pd.DataFrame(rows, columns=["sep", "header_no", "names"])
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _names_udf(texts: pd.Series, seps: pd.Series) -> pd.Series:
+    return pd.Series([[column_name(x) for x in split_strict(t or "", s)[0] or [""]] for t, s in zip(texts, seps)])
 
 
 @F.pandas_udf(_READ)
 def _read_udf(texts: pd.Series, seps: pd.Series, names: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([read_record(t, s, n) for t, s, n in zip(texts, seps, names)], columns=["kind", "values", "reason", "cost"])
+    return pd.DataFrame([read_record(t, s, n) if s is not None else (None, None, None, None) for t, s, n in zip(texts, seps, names)], columns=["kind", "values", "reason", "cost"])
 
 
-def layouts(records: DataFrame, file: str, number: str, text: str, head: int = HEAD_RECORDS) -> DataFrame:
-    """(file, sep, header_no, names) of every file, from its first ``head`` records (a bounded list each)."""
-    first = records.where(F.col(number) < head).groupBy(file, number).agg(F.min(text).alias("text"))
-    heads = first.groupBy(file).agg(F.collect_list(F.struct(F.col(number).alias("no"), "text")).alias("head"))
-    return heads.withColumn("l", _layout_udf("head")).select(file, "l.sep", "l.header_no", "l.names")
+_read_udf = _read_udf.asNondeterministic()  # so that no filter on its result moves below it and has it run twice
 
 
-def read_records(records: DataFrame, key: str = "record_id", file: str = "file_id", number: str = "record_no", text: str = "record_text", head: int = HEAD_RECORDS) -> DataFrame:
-    """(key, file, kind, names, values, reason, cost) of every record below its file's header."""
+# The same reading as expressions, for records whose quoting is plain ---------------------------------------------------
+_DOUBLED, _INNER = "\x01", "\x02"  # stand for a doubled quote, and for a separator inside quotes
+
+
+def _cells(text: Column, sep: Column) -> Column:
+    """A text cut at its separators."""
+    cases = [F.split(text, "\\" + s if s == "|" else s) for s in SEPARATORS]
+    return F.when(sep == SEPARATORS[0], cases[0]).when(sep == SEPARATORS[1], cases[1]).when(sep == SEPARATORS[2], cases[2]).otherwise(cases[3])
+
+
+def plain_fields(text: Column, sep: Column) -> Column:
+    """The fields of a record whose quotes all stand around whole fields or doubled inside them; null where that is not plain
+    to see (it may be so all the same, as of a field that begins with a doubled quote)."""
+
+    def unquoted(parts: Column) -> Column:
+        last = F.size(parts) - 1
+        begins = lambda x, i: (i == 0) | x.startswith(sep) | ((i == last) & (x == ""))
+        ends = lambda x, i: (i == last) | x.endswith(sep) | ((i == 0) & (x == ""))
+        sound = F.forall(F.transform(parts, lambda x, i: (i % 2 == 1) | (~x.contains(_DOUBLED) & begins(x, i) & ends(x, i))), lambda ok: ok)
+        masked = F.array_join(F.transform(parts, lambda x, i: F.when(i % 2 == 1, F.replace(x, sep, F.lit(_INNER))).otherwise(x)), "")
+        return F.when((last % 2 == 0) & sound, F.transform(_cells(masked, sep), lambda x: F.replace(F.replace(x, F.lit(_INNER), sep), F.lit(_DOUBLED), F.lit('"'))))
+
+    quoted = V.let(F.split(F.replace(text, F.lit('""'), F.lit(_DOUBLED)), '"'), unquoted)
+    return F.when(~text.contains('"'), _cells(text, sep)).when(~text.contains(_DOUBLED) & ~text.contains(_INNER), quoted)
+
+
+def layouts(records: DataFrame, file: str, number: str, text: str) -> DataFrame:
+    """(file, sep, header_no, names, n) of every file, from all of its records.
+
+    The separator is the most frequent one outside quotes; the header is the first record that is filled enough, measured
+    by the most frequent number of fields, and mostly text; else the first that is filled enough; else the first.
+    """
+    rows = records.select(F.col(file), F.col(number).alias("__no"), F.col(text).alias("__text")).where(F.col(file).isNotNull() & F.col("__no").isNotNull())
+    bare = F.regexp_replace(F.coalesce("__text", F.lit("")), '"[^"]*"', "")
+    counts = [F.sum(F.length(bare) - F.length(F.replace(bare, F.lit(s), F.lit("")))) for s in SEPARATORS]
+    seps = rows.groupBy(file).agg(F.count("*").alias("n"), *[c.alias(f"s{i}") for i, c in enumerate(counts)])
+    most = F.greatest(*[F.col(f"s{i}") for i in range(len(SEPARATORS))])
+    best = F.coalesce(F.when(most == 0, ","), *[F.when(F.col(f"s{i}") == most, s) for i, s in enumerate(SEPARATORS)])
+    seps = cut(seps.select(file, "n", best.alias("sep")))
+    cells = join_to_keys(rows, seps, [file], "n").select(file, "__no", plain_fields(F.col("__text"), F.col("sep")).alias("f"))
+    cells = cells.select(file, "__no", F.size("f").alias("fields"), F.size(F.filter("f", lambda x: strip(x) != "")).alias("filled"), F.size(F.filter("f", header_like)).alias("texts"))
+    titled = F.col("texts") >= HEADER_TEXT * F.col("filled")
+    shapes = cut(cells.groupBy(file, "fields", "filled").agg(F.count("*").alias("c"), F.min("__no").alias("first"), F.min(F.when(titled, F.col("__no"))).alias("titled")))
+    widths = shapes.where("filled > 0").groupBy(file, "fields").agg(F.sum("c").alias("c")).groupBy(file).agg(F.max(F.struct("c", "fields")).getField("fields").alias("width"))
+    enough = F.col("filled") >= HEADER_FILL * F.coalesce("width", F.lit(1))
+    places = shapes.join(widths, file, "left").groupBy(file).agg(F.min(F.when(enough, F.col("titled"))).alias("a"), F.min(F.when(enough, F.col("first"))).alias("b"), F.min("first").alias("c"))
+    heads = cut(places.select(file, F.coalesce("a", "b", "c").alias("header_no")).join(seps, file))
+    named = join_to_keys(rows, heads, [file], "n").where(F.col("__no") == F.col("header_no")).groupBy(file, "sep").agg(F.min("__text").alias("t"))
+    return heads.join(named.select(file, _names_udf("t", "sep").alias("names")), file).select(file, "sep", "header_no", "names", "n")
+
+
+def _staged(records: DataFrame, key: str, file: str, number: str, text: str) -> DataFrame:
+    """(key, file, __text, sep, names, __fields, __kind): records below their header; the kind where expressions settle it."""
     rows = records.select(key, file, number, text)
-    below = rows.join(layouts(rows, file, number, text, head), file).where(F.col(number) > F.col("header_no"))
-    return below.withColumn("r", _read_udf(text, "sep", "names")).select(key, file, "r.kind", "names", "r.values", "r.reason", "r.cost")
+    found = layouts(rows, file, number, text)
+    below = join_to_keys(rows, found, [file], "n").where(F.col(number) > F.col("header_no"))
+    staged = below.select(key, file, F.col(text).alias("__text"), "sep", "names", plain_fields(F.col(text), F.col("sep")).alias("__fields"))
+    fields, names = F.col("__fields"), F.col("names")
+
+    def fit(column: str, test: str) -> Column:
+        place = F.array_position(names, column)
+        value = F.get(fields, (place - 1).cast("int"))
+        return (place == 0) | is_placeholder(value) | _COLUMN_TESTS[test](value).isNotNull()
+
+    first = F.regexp_replace(F.regexp_replace(F.lower(strip(F.get(fields, F.lit(0)))), "[^a-z0-9]+", "_"), "^_+|_+$", "")
+    no_header = ~first.isin(*APP_NUMBER_KEYWORDS) & (first != F.get(names, F.lit(0)))
+    good = (F.size(fields) == F.size(names)) & (F.size(F.array_distinct(names)) == F.size(names)) & F.exists(fields, lambda x: strip(x) != "") & no_header
+    for column, test in COLUMN_TESTS.items():
+        good = good & fit(column, test)
+    blank = F.coalesce(strip(F.replace("__text", F.col("sep"), F.lit(""))) == "", F.lit(True))
+    return staged.withColumn("__kind", F.when(blank, "blank").when(good, "loaded"))
+
+
+def read_records(records: DataFrame, key: str = "record_id", file: str = "file_id", number: str = "record_no", text: str = "record_text") -> DataFrame:
+    """(key, file, kind, names, values, reason, cost) of every record below its file's header."""
+    staged = _staged(records, key, file, number, text)
+    settled = F.col("__kind").isNotNull()
+    open_only = [F.when(~settled, F.col(c)) for c in ("__text", "sep", "names")]
+    values = F.when(F.col("__kind") == "loaded", F.col("__fields")).otherwise(F.col("r.values"))
+    return staged.withColumn("r", _read_udf(*open_only)).select(key, file, F.coalesce("__kind", "r.kind").alias("kind"), "names", values.alias("values"), "r.reason", F.coalesce("r.cost", F.lit(0.0)).alias("cost"))
+
+
+def rejected(records: DataFrame, key: str = "record_id", file: str = "file_id", number: str = "record_no", text: str = "record_text") -> DataFrame:
+    """(key, reason, cost) of the records that fail. Only those that expressions do not settle are parsed."""
+    staged = _staged(records, key, file, number, text).where("__kind is null")
+    return failed(staged.withColumn("r", _read_udf("__text", "sep", "names")).select(key, "r.*"), key)
 
 
 def loaded(read: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """The valid records as columns; a column that a file lacks is null."""
-    cells = F.map_from_entries(F.arrays_zip(F.transform(F.sequence(F.lit(1), F.size("names")), lambda i: F.concat(F.element_at("names", i), F.when(F.array_position("names", F.element_at("names", i)) != i, F.concat(F.lit("."), i)).otherwise(""))), F.col("values")))
-    rows = read.where("kind = 'loaded'").select(key, cells.alias("cells"))
-    return rows.select(key, *[F.col("cells")[c].alias(c) for c in columns])
+    """The valid records as columns; a column that a file lacks is null, and of two columns of one name the first is taken."""
+    rows = read.where("kind = 'loaded'")
+    return rows.select(key, *[F.get("values", (F.array_position("names", c) - 1).cast("int")).alias(c) for c in columns])
 
 
 def failed(read: DataFrame, key: str) -> DataFrame:

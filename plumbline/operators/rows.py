@@ -14,12 +14,10 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.config import DISGUISED_BLANKS
+from plumbline.config import DISGUISED_BLANKS, TOTAL_LABELS
 from plumbline.functions.blanks import is_filled, strip
 from plumbline.functions.values import compare_key
 
-TOTAL_LABELS = ("total", "totals", "grand total", "grand totals", "sub total", "subtotal", "sub-total", "overall total", "column total", "report total")
-
 
 def q(name: str) -> Column:
     """A column by its exact name, dots and all."""

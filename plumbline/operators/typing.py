@@ -12,17 +12,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.config import DISGUISED_BLANKS, FALSE_WORDS, ID_KEYWORDS, TRUE_WORDS
+from plumbline.config import CLEAR_FLAG_WORDS, DISGUISED_BLANKS, FALSE_WORDS, FLAG_NAME_TOKENS, ID_KEYWORDS, TRUE_WORDS
 from plumbline.functions import names as N
 from plumbline.functions import values as V
 from plumbline.functions.blanks import is_placeholder
 
 DATE_RATE, FLAG_RATE, PHONE_RATE, EMAIL_RATE, NUMBER_RATE, SIGN_RATE = 0.6, 0.75, 0.5, 0.5, 0.5, 0.3
 UNIQUE_RATE, CATEGORY_RATE, FLAG_VALUES = 0.95, 0.2, 16
-#: No number or date is written longer; longer values skip the parsers.
-MAX_PARSED = 64
-CLEAR_WORDS = {"true", "false", "yes", "no"}
-FLAG_TOKENS = {"flag", "enabled", "active", "boolean", "bool", "yn"}
 
 
 @dataclass(frozen=True)
@@ -40,7 +36,6 @@ class ColumnProfile:
     percents: int
     leading_zero: int
     number_like: int
-    numbers: int
     money: int
     dates: int
     filled_text: int
@@ -53,24 +48,32 @@ class ColumnProfile:
 
 
 def profiles(df: DataFrame, columns: Sequence[str], blanks: Sequence[str] = DISGUISED_BLANKS) -> dict[str, ColumnProfile]:
-    """One profile per column, from one long-form aggregate over exact value counts."""
+    """One profile per column, from one long-form aggregate over exact value counts.
+
+    Money is counted only where a rule asks for it, in columns whose name is that of a price or a measure, and dates only in
+    columns of text or time; both see whole values.
+    """
     if not columns:
         return {}
+    types = dict(df.dtypes)
+    money = [i for i, c in enumerate(columns) if N.is_price(c) or N.is_measure(c)]
+    dated = [i for i, c in enumerate(columns) if types[c] == "string" or types[c].startswith(("date", "timestamp"))]
     cells = df.select(F.inline(F.array(*[F.struct(F.lit(i).alias("i"), F.col("`" + c.replace("`", "``") + "`").cast("string").alias("v")) for i, c in enumerate(columns)])))
     counts = cells.groupBy("i", "v").agg(F.count("*").alias("n"))
     v, n = F.col("v"), F.col("n")
     sample = v.isNotNull() & ~is_placeholder(v, blanks)
     words = list(TRUE_WORDS + FALSE_WORDS)
-    short = F.coalesce((F.length(F.btrim(v)) <= MAX_PARSED) & v.rlike("[0-9]"), F.lit(False))  # neither number nor date otherwise
     total = lambda test: F.sum(F.when(test, n).otherwise(0))
     like = lambda pattern: F.col("sample") & v.rlike(pattern)
-    counts = counts.select("i", "v", "n", sample.alias("sample"), V.to_number(v).isNotNull().alias("number"), (short & V.to_money(F.when(short, v)).isNotNull()).alias("money"), (short & V.to_date_uk(F.when(short, v)).isNotNull()).alias("date"), V.flag_key(v).alias("key"))
+    parsed = lambda which, f: F.col("sample") & F.col("i").isin(which) & f(F.when(F.col("sample") & F.col("i").isin(which), v)).isNotNull()
+    counts = counts.select("i", "v", "n", sample.alias("sample"))
+    counts = counts.select("*", parsed(money, V.to_money).alias("money"), parsed(dated, V.to_date_uk).alias("date"), V.flag_key(v).alias("key"))
     sample, key = F.col("sample"), F.col("key")
     rows = counts.groupBy("i").agg(
         F.sum("n").alias("rows"), total(v.isNotNull()).alias("present"), total(sample).alias("n"), F.count_if(v.isNotNull()).alias("distinct"),
         total(like(r"^[^@\s]+@[^@\s]+\.[^@\s]+$")).alias("emails"), total(like(r"^[0-9\s\-().+]{7,}$")).alias("phones"),
         total(like("[£$€]")).alias("currency"), total(like("%")).alias("percents"), total(like("^0[0-9]")).alias("leading_zero"),
-        total(like(r"^[£$€]?-?[0-9]+(\.[0-9]+)?%?$")).alias("number_like"), total(sample & F.col("number")).alias("numbers"),
+        total(like(r"^[£$€]?-?[0-9]+(\.[0-9]+)?%?$")).alias("number_like"),
         total(sample & F.col("money")).alias("money"), total(sample & F.col("date")).alias("dates"),
         total(like(r"(?U)\S")).alias("filled_text"), total(sample & key.isin(words)).alias("flag_words"),
         total(sample & key.isin([w for w in words if w not in ("0", "1")])).alias("word_flags"),
@@ -80,27 +83,22 @@ def profiles(df: DataFrame, columns: Sequence[str], blanks: Sequence[str] = DISG
     out = {}
     for i, c in enumerate(columns):
         r = found.get(i)
-        out[c] = ColumnProfile(c, *(int(r[f] or 0) for f in list(ColumnProfile.__dataclass_fields__)[1:-1]), frozenset(r.flag_keys)) if r else ColumnProfile(c, *[0] * 16, frozenset())
+        counted = list(ColumnProfile.__dataclass_fields__)[1:-1]
+        out[c] = ColumnProfile(c, *(int(r[f] or 0) for f in counted), frozenset(r.flag_keys)) if r else ColumnProfile(c, *[0] * len(counted), frozenset())
     return out
 
 
 def is_flag_column(p: ColumnProfile) -> bool:
+    """Flag words alone, or nearly so; digits and one-sided words count only where words of both sides or the name support them."""
     if N.is_app_number(p.name) or not p.n:
         return False
     true, false = map(set, V.flag_words(p.name))
-    keys, words = set(p.flag_keys), true | false
-    only_words = p.flag_words == p.n and keys <= words
-    both = bool(keys & true) and bool(keys & false)
-    hint = p.name.lower().startswith(("is_", "has_")) or bool(FLAG_TOKENS & set(N.tokens(p.name)))
-    if only_words and keys != {"1", "0"} and both:
-        return True
-    if only_words and keys and keys != {"1", "0"} and (keys <= CLEAR_WORDS or (hint and not keys <= {"1", "0"})):
-        return True
-    if only_words and hint and keys <= {"1", "0"}:
-        return True
-    strays = p.word_flags < p.n and p.rate(p.word_flags) >= FLAG_RATE
-    named = keys - {"1", "0"}
-    return strays and bool(named & true) and bool(named & false)
+    digits, keys = {"1", "0"}, set(p.flag_keys)
+    named = p.name.lower().startswith(("is_", "has_")) or bool(set(FLAG_NAME_TOKENS) & set(N.tokens(p.name)))
+    two_sided = lambda k: bool(k & true) and bool(k & false)
+    if p.flag_words == p.n and keys and keys <= true | false:
+        return named if keys <= digits else two_sided(keys) or named or keys <= set(CLEAR_FLAG_WORDS)
+    return p.word_flags < p.n and p.rate(p.word_flags) >= FLAG_RATE and two_sided(keys - digits)
 
 
 def is_id_column(p: ColumnProfile) -> bool:

@@ -15,7 +15,7 @@ RAW_COLUMNS = ["app_number", "description", "part_description", "unit_price", "q
 
 
 def p4_rejected(spark: SparkSession, folder: str) -> DataFrame:
-    return failed_rows.failed(failed_rows.read_records(table(spark, folder, "raw_records")), "record_id")
+    return failed_rows.rejected(table(spark, folder, "raw_records"))
 
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:

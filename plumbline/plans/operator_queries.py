@@ -65,21 +65,28 @@ def _money(column: str, source: str, keep: str) -> str:
           FROM (SELECT *, {column} AS v, {_strip(column)} AS s0 FROM {source}))))))"""
 
 
-def _iso(y: str, m: str, d: str) -> str:
-    return f"try_cast({y} || '-' || lpad({m}, 2, '0') || '-' || lpad({d}, 2, '0') AS DATE)"
-
-
 def _date(c: str) -> str:
-    part = lambda p, i: f"regexp_extract(s, '{p}', {i})"
-    month = lambda p, i: f"CASE WHEN regexp_matches({part(p, i)}, '{V.MONTHS}') THEN CAST((instr('{V.MONTH_STARTS}', lower(substr({part(p, i)}, 1, 3))) + 2) // 3 AS VARCHAR) END"
-    yf, yl, sy, dm, md, co = V.YEAR_FIRST, V.YEAR_LAST, V.SHORT_YEAR, V.DAY_MONTH, V.MONTH_DAY, V.COMPACT
-    century = f"(CASE WHEN {part(sy, 3)} < '69' THEN '20' ELSE '19' END || {part(sy, 3)})"
-    return f"""CASE WHEN regexp_matches(s, '{yf}') THEN {_iso(part(yf, 1), part(yf, 2), part(yf, 3))}
-      WHEN regexp_matches(s, '{co}') THEN {_iso(part(co, 1), part(co, 2), part(co, 3))}
-      WHEN regexp_matches(s, '{yl}') THEN coalesce({_iso(part(yl, 3), part(yl, 2), part(yl, 1))}, {_iso(part(yl, 3), part(yl, 1), part(yl, 2))})
-      WHEN regexp_matches(s, '{sy}') THEN coalesce({_iso(century, part(sy, 2), part(sy, 1))}, {_iso(century, part(sy, 1), part(sy, 2))})
-      WHEN regexp_matches(s, '{dm}') THEN {_iso(part(dm, 3), month(dm, 2), part(dm, 1))}
-      WHEN regexp_matches(s, '{md}') THEN {_iso(part(md, 3), month(md, 1), part(md, 2))} END"""
+    """The styles of dates, written out by hand for DuckDB, whose patterns have no back references."""
+    time = r"(?:[tT\s]+(?:[01]?[0-9]|2[0-3]):[0-5][0-9](?::[0-5][0-9](?:[.,][0-9]+)?)?\s*(?:[zZ]|[+-][0-9]{2}:?[0-9]{2}|[aApP][mM])?)?$"
+    weekday = r"(?i)^(?:(?:mon|tue|tues|wed|wednes|thu|thur|thurs|fri|sat|satur|sun)(?:day)?,?\s+)?"
+    month = "(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)(?:uary|ruary|ch|il|e|y|ust|t|tember|ober|ember)?"
+    date = lambda y, m, d: f"try_cast(CASE WHEN length({y}) = 4 THEN {y} WHEN {y} < '69' THEN '20' || {y} ELSE '19' || {y} END || '-' || lpad({m}, 2, '0') || '-' || lpad({d}, 2, '0') AS DATE)"
+    part = lambda p, i: f"regexp_extract({c}, '{p}', {i})"
+    named = lambda p, i: f"CAST(list_position(['jan','feb','mar','apr','may','jun','jul','aug','sep','oct','nov','dec'], lower({part(p, i)})) AS VARCHAR)"
+    cases = []
+    for s in ("-", "/", "[.]"):
+        p = f"^([0-9]{{4}}){s}([0-9]{{1,2}}){s}([0-9]{{1,2}}){time}"
+        cases.append((p, date(part(p, 1), part(p, 2), part(p, 3))))
+    p = "^((?:1[6-9]|2[01])[0-9]{2})([0-9]{2})([0-9]{2})$"
+    cases.append((p, date(part(p, 1), part(p, 2), part(p, 3))))
+    for s in ("-", "/", "[.]", " "):
+        p = f"^([0-9]{{1,2}}){s}([0-9]{{1,2}}){s}([0-9]{{4}}|[0-9]{{2}}){time}"
+        cases.append((p, f"coalesce({date(part(p, 3), part(p, 2), part(p, 1))}, {date(part(p, 3), part(p, 1), part(p, 2))})"))
+    p = rf"{weekday}([0-9]{{1,2}})(?:st|nd|rd|th)?[-\s./]+{month}\.?,?[-\s./]+([0-9]{{4}}|[0-9]{{2}}){time}"
+    cases.append((p, date(part(p, 3), named(p, 2), part(p, 1))))
+    p = rf"{weekday}{month}\.?[-\s]+([0-9]{{1,2}})(?:st|nd|rd|th)?,?[-\s]+([0-9]{{4}}|[0-9]{{2}}){time}"
+    cases.append((p, date(part(p, 3), named(p, 1), part(p, 2))))
+    return "CASE " + " ".join(f"WHEN regexp_matches({c}, '{p}') THEN {v}" for p, v in cases) + " END"
 
 
 def _mapping(c: str, mapping: dict[str, str]) -> str:
@@ -172,10 +179,12 @@ def date_uk(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "app_records").select("row_id", V.date_text(V.to_date_uk(F.col("order_date"))).alias("order_date"))
 
 
-@_query("SELECT o_orderkey, CASE WHEN x = floor(x) THEN CAST(CAST(x AS DECIMAL(38,0)) AS VARCHAR) ELSE CAST(x AS VARCHAR) END AS price_text FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN floor(o_totalprice) ELSE o_totalprice END AS x FROM orders)")
+_SCALED = "CASE WHEN o_orderkey % 5 = 0 THEN floor(o_totalprice) WHEN o_orderkey % 5 = 1 THEN o_totalprice * 1000 WHEN o_orderkey % 5 = 2 THEN o_totalprice / 1048576 / 1024 WHEN o_orderkey % 5 = 3 THEN -o_totalprice * 1048576 * 1048576 ELSE o_totalprice END"
+
+
+@_query(f"SELECT o_orderkey, CASE WHEN x = floor(x) AND abs(x) < 1e16 THEN CAST(CAST(x AS DECIMAL(38,0)) AS VARCHAR) ELSE CAST(x AS VARCHAR) END AS price_text FROM (SELECT o_orderkey, {_SCALED} AS x FROM orders)")
 def clean_text(spark: SparkSession, d: str) -> DataFrame:
-    x = F.when(F.col("o_orderkey") % 3 == 0, F.floor("o_totalprice").cast("double")).otherwise(F.col("o_totalprice"))
-    return table(spark, d, "orders").select("o_orderkey", V.number_text(x).alias("price_text"))
+    return table(spark, d, "orders").select("o_orderkey", V.number_text(F.expr(_SCALED).cast("double")).alias("price_text"))
 
 
 _DECIMALS = f"""SELECT column_name, number, max(decimals) AS decimals FROM (
@@ -284,10 +293,12 @@ def repeated_header_rows(spark: SparkSession, d: str) -> DataFrame:
 
 
 _TOTALS = """SELECT n_name AS label, CAST(n_nationkey AS VARCHAR(20)) AS amount, CAST(n_regionkey AS VARCHAR(20)) AS qty FROM {nation} UNION ALL SELECT 'Grand  Total', '300', '£50' UNION ALL SELECT 'total', '5', NULL
-  UNION ALL SELECT 'Subtotal ', 'many', 'some' UNION ALL SELECT 'TOTAL', 'x', '1,200'"""
+  UNION ALL SELECT 'Subtotal ', 'many', 'some' UNION ALL SELECT 'TOTAL', 'x', '1,200' UNION ALL SELECT l, '7', '8' FROM (VALUES ('totals'), ('grand total'), ('grand totals'), ('subtotal'), ('sub-total'), ('Sub Total'), ('grand subtotal'), ('grand sub-total'), ('grand sub total'),
+  ('overall total'), ('column total'), ('report total'), ('total of all'), ('sub totals')) t(l)"""
 
 
-@_query(f"SELECT label, amount, qty FROM ({_TOTALS.format(nation='nation')}) WHERE NOT (lower(regexp_replace(trim(label), '\\s+', ' ', 'g')) IN {_words(rows.TOTAL_LABELS)} AND amount IS NOT NULL AND qty IS NOT NULL AND (regexp_matches(translate(amount, ',£', ''), '^[0-9.]+$') OR regexp_matches(translate(qty, ',£', ''), '^[0-9.]+$')))")
+@_query(f"""SELECT label, amount, qty FROM ({_TOTALS.format(nation='nation')}) WHERE NOT (lower(regexp_replace(trim(label), '\\s+', ' ', 'g')) IN ('total', 'totals', 'grand total', 'grand totals', 'subtotal', 'sub-total', 'sub total', 'grand subtotal', 'grand sub-total', 'grand sub total')
+  AND amount IS NOT NULL AND qty IS NOT NULL AND (regexp_matches(translate(amount, ',£', ''), '^[0-9.]+$') OR regexp_matches(translate(qty, ',£', ''), '^[0-9.]+$')))""")
 def total_rows(spark: SparkSession, d: str) -> DataFrame:
     df = spark.sql(_TOTALS.format(nation=f"parquet.`{d}/nation.parquet`"))
     return rows.drop_totals(df, ["label", "amount", "qty"])

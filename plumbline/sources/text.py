@@ -3,29 +3,25 @@
 from __future__ import annotations
 
 import codecs
-import csv
 import datetime
 import hashlib
-import io
 import os
 import re
-import sys
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from itertools import chain
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.config import DISGUISED_BLANKS, EXTENSIONS
 from plumbline.functions import names as N
-from plumbline.operators.failed_rows import HEADER_FILL, HEADER_TEXT, is_header_like
+from plumbline.operators.failed_rows import HEADER_FILL, HEADER_TEXT, header_like, is_header_like, plain_fields
 
-SAMPLE_BYTES = 200_000
+#: The separator is counted in the first lines that hold anything, of the first characters (as the rule has it).
 SAMPLE_CHARS = 65_536
 SAMPLE_LINES = 20
-HEAD_ROWS = 500
 #: The words that pandas reads as "no value" by default.
 DEFAULT_NA = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
@@ -68,45 +64,21 @@ def describe_source(loaded: LoadedFile) -> dict[str, object]:
     }
 
 
-def detect_encoding(head: bytes, whole: bool = True) -> str:
-    """Encoding of the first bytes of a file. A character cut off at the end of a sample is no error."""
-    for mark, name in ((codecs.BOM_UTF8, "utf-8-sig"), (codecs.BOM_UTF16_LE, "utf-16"), (codecs.BOM_UTF16_BE, "utf-16")):
-        if head.startswith(mark):
-            return name
-    for name in ("utf-8", "cp1252"):
-        try:
-            codecs.getincrementaldecoder(name)().decode(head, final=whole)
-            return name
-        except UnicodeDecodeError:
-            continue
-    return "latin-1"
-
-
-def greatest_width(path: str, encoding: str, separator: str) -> int:
-    """Fields of the widest record of a file, which is read to its end and strictly, one record at a time."""
-    limit = csv.field_size_limit(sys.maxsize)
-    try:
-        with open(path, encoding=encoding, newline="") as f:
-            first = re.search("\r\n?|\n", f.read(SAMPLE_BYTES))
-        # As in Spark's reader, a carriage return by itself ends a line only where it ends the first one.
-        with open(path, encoding=encoding, newline=None if first and first[0] == "\r" else "\n") as f:
-            lines, width = (x.rstrip("\r\n").replace("\r", " ") + "\n" for x in f), 1
-            for line in lines:
-                width = max(width, len(next(csv.reader(chain([line], lines), delimiter=separator))) if '"' in line else line.count(separator) + 1)
-        return width
-    finally:
-        csv.field_size_limit(limit)
-
-
-def settle_encoding(path: str, likely: str, separator: str) -> tuple[str, int]:
-    """The encoding of a whole file, given that of its first bytes, and its greatest width. What a mark promises must hold."""
-    unmarked = ["utf-8", "cp1252", "latin-1"]
-    for name in unmarked[unmarked.index(likely) :] if likely in unmarked else [likely]:
-        try:
-            return name, greatest_width(path, name, separator)
-        except UnicodeError as e:
-            error = e
-    raise RuntimeError(f"'{os.path.basename(path)}' begins as {likely} but is not so throughout: {error}")
+def marked_encoding(head: bytes) -> str | None:
+    """The encoding that a byte-order mark at the start of a file names."""
+    return next((name for mark, name in ((codecs.BOM_UTF8, "utf-8-sig"), (codecs.BOM_UTF16_LE, "utf-16"), (codecs.BOM_UTF16_BE, "utf-16")) if head.startswith(mark)), None)
+
+
+def settle_encoding(spark: SparkSession, path: str, mark: str | None) -> str:
+    """The encoding of a file, from one distributed pass over all its lines: UTF-8 if every line is valid, else Windows-1252
+    if it holds none of the five codes that are open there, else Latin-1. What a mark promises must hold."""
+    if mark == "utf-16":
+        return mark
+    raw = F.col("value").cast("binary")
+    row = spark.read.text(path).agg(F.count_if(~F.is_valid_utf8(raw.cast("string"))).alias("broken"), F.count_if(F.decode(raw, "ISO-8859-1").rlike("[\x81\x8d\x8f\x90\x9d]")).alias("open")).first()
+    if mark and row.broken:
+        raise RuntimeError(f"'{os.path.basename(path)}' begins as {mark} but is not so throughout")
+    return mark or ("utf-8" if not row.broken else "latin-1" if row.open else "cp1252")
 
 
 def detect_separator(text: str) -> str:
@@ -139,43 +111,66 @@ _DEFINED = [b for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x
 _CP1252 = ("".join(map(chr, _DEFINED)), "".join(bytes([b]).decode("cp1252") for b in _DEFINED))
 
 
+def _reader(spark: SparkSession, path: str, encoding: str, separator: str, width: int, whole: bool) -> DataFrame:
+    """Records as c0, c1, ... and, where a record has more or fewer cells than that, its text. Lines are read by splits of
+    the file unless ``whole``, which is needed where a quoted cell holds a line break."""
+    schema = T.StructType([*[T.StructField(f"c{i}", T.StringType()) for i in range(width)], T.StructField("__record", T.StringType())])
+    rows = spark.read.schema(schema).options(sep=separator, quote='"', escape='"', mode="PERMISSIVE", encoding=_CHARSETS[encoding], multiLine=str(whole).lower(), columnNameOfCorruptRecord="__record", maxCharsPerColumn="-1", maxColumns="1000000").csv(path)
+    if encoding == "cp1252":
+        rows = rows.select(*[F.translate(c, *_CP1252).alias(c) for c in rows.columns])
+    if encoding in ("utf-8-sig", "utf-16"):  # the mark stays in the first cell of a file that is read by splits
+        rows = rows.withColumn("c0", F.nullif(F.ltrim("c0", F.lit("\ufeff")), F.lit("")))
+    return rows
+
+
 def load_text(spark: SparkSession, path: str, blanks: Sequence[str] = DISGUISED_BLANKS) -> LoadedFile:
-    """A delimited file as text columns plus ``__row_id``; header and separator are looked for in the first rows.
+    """A delimited file as text columns plus ``__row_id``, in the order of the file.
 
-    The file is parsed by Spark's reader with the width of its widest record, so ragged rows keep their cells and lose none;
-    a record that is wider all the same fails the file. So does one that is not in the encoding of its mark. An empty file
-    raises.
+    Encoding, width and header come from the whole file, each by one distributed pass or, the header, by a search that ends
+    with the first row that fits. The width is that of the widest record, so ragged rows keep their cells and lose none; the
+    header is looked for among rows filled in proportion to the most frequent width. Rows whose cells are all blank are left
+    out, wherever they stand. A file that is not in the encoding of its mark, or is empty, raises.
     """
     ext = os.path.splitext(path)[1].lower()
     with open(path, "rb") as f:
-        head = f.read(SAMPLE_BYTES)
-        whole = not f.read(1)
+        head = f.read(4 * SAMPLE_CHARS)
     if not head:
         raise RuntimeError(f"'{os.path.basename(path)}' is empty -- nothing to clean")
-    encoding = detect_encoding(head, whole)
-    text = codecs.getincrementaldecoder(encoding)("replace").decode(head, final=whole).lstrip("\ufeff")
+    encoding = settle_encoding(spark, path, marked_encoding(head))
+    text = codecs.getincrementaldecoder(encoding)("replace").decode(head).lstrip("\ufeff")
     separator = "\t" if ext == ".tsv" else detect_separator(text)
-    sample = [r for r in csv.reader(io.StringIO(text), delimiter=separator) if r][: HEAD_ROWS if whole else HEAD_ROWS - 1]
-    encoding, whole_width = settle_encoding(path, encoding, separator)
-    width = max((len(r) for r in sample), default=1)
-    padded = [[*(c if c != "" else None for c in r), *[None] * (width - len(r))] for r in sample]
-    header_row = find_header_row(padded)
-    header = padded[header_row] if padded else [None]
-    width = max(width, whole_width)
-    names = N.mangle_header([*header, *[None] * (width - len(header))])
-    rows = spark.read.schema(_schema(width + 1)).options(sep=separator, quote='"', escape='"', mode="PERMISSIVE", encoding=_CHARSETS[encoding], multiLine="true").csv(path)
-    if encoding == "cp1252":
-        rows = rows.select(*[F.translate(f"c{i}", *_CP1252).alias(f"c{i}") for i in range(width + 1)])
-    fits = F.when(F.col(f"c{width}").isNotNull(), F.raise_error(F.lit(f"'{os.path.basename(path)}' has a record of more than {width} fields"))).isNull()
+    breaks_inside = (F.length(F.regexp_replace("value", '[^"]', "")) % 2 == 1) | F.col("value").rlike("(?s)\r.")  # in quotes, or a lone return
+    whole = encoding == "utf-16" or not spark.read.text(path, lineSep="\n").where(breaks_inside).isEmpty()
+    # A record of one cell has no text here. Where the quoting is odd, every separator may be one.
+    plain, most = F.size(plain_fields(F.col("__record"), F.lit(separator))), F.length(F.regexp_replace("__record", f"[^{re.escape(separator)}]", "")) + 1
+    size = F.when(F.col("__record").isNull(), F.when(F.col("c0").isNull(), 0).otherwise(1)).otherwise(F.coalesce(plain, most))
+    counts = _reader(spark, path, encoding, separator, 1, whole).groupBy(size.alias("n"), (F.col("__record").isNotNull() & plain.isNull()).alias("odd")).count().collect()
+    sizes = {r.n: r["count"] for r in counts if not r.odd and r.n}
+    usual = max(sizes, key=lambda n: (sizes[n], n), default=1)
+    width, widest = max(sizes, default=1), max((r.n for r in counts), default=1)
+    rows = _reader(spark, path, encoding, separator, max(width, widest), whole)
+    if widest > width:
+        used = rows.agg(*[F.count(f"c{i}").alias(f"c{i}") for i in range(width, widest)]).first()
+        width = max([width, *[i + 1 for i in range(width, widest) if used[f"c{i}"]]])
+    rows = rows.withColumn("__row_id", F.monotonically_increasing_id())
+    names = [f"c{i}" for i in range(width)]
     words = na_words(blanks)
-    cells = [F.when(~F.col(f"c{i}").isin(words), F.col(f"c{i}")).alias(f"c{i}") for i in range(width)]
-    rows = rows.where(fits).where(" or ".join(f"c{i} is not null" for i in range(width))).withColumn("__row_id", F.monotonically_increasing_id())
-    body = rows.where(F.col("__row_id") > header_row).select("__row_id", *cells)
-    return LoadedFile(path, ext, body.toDF("__row_id", *names), header_row, encoding, separator)
-
-
-def _schema(width: int) -> T.StructType:
-    return T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
+    kept = [F.when(~F.col(c).isin(words), F.col(c)).alias(c) for c in names]
+    head_row = _header(rows, names, usual)
+    header_id = head_row["__row_id"] if head_row else -1
+    columns = N.mangle_header([head_row[c] for c in names] if head_row else [None] * width)
+    filler = rows.where((F.col("__row_id") < header_id) & F.coalesce(*names).isNotNull()).count() if head_row else 0
+    body = rows.where(F.col("__row_id") > header_id).where(F.coalesce(*names).isNotNull()).select("__row_id", *kept)
+    return LoadedFile(path, ext, body.toDF("__row_id", *columns), filler, encoding, separator)
+
+
+def _header(rows: DataFrame, names: Sequence[str], width: int):
+    """The first row that is filled enough and mostly text; else the first that is filled enough; else the first."""
+    present = [F.col(c).isNotNull() & ~F.col(c).isin(*DEFAULT_NA) for c in names]
+    total = lambda tests: reduce(lambda a, b: a + b, [t.cast("int") for t in tests])
+    full = total(present) >= HEADER_FILL * width
+    texts = total([p & header_like(F.col(c)) for p, c in zip(present, names)]) >= HEADER_TEXT * total(present)
+    return rows.where(full & texts).first() or rows.where(full).first() or rows.first()
 
 
 def physical_types(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:

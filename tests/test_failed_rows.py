@@ -1,6 +1,8 @@
 import itertools
+import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from plumbline.operators import failed_rows as R
 
@@ -59,10 +61,47 @@ def test_long_and_hostile():
     assert R.read_record('"' * 999, ",", NAMES)[0] == "failed"
 
 
-def test_layout():
-    assert R.settle_layout(["Report run weekly", "Stock;;;", "App No;Description;Qty;Weight", "A;b;1;2"]) == (";", 2, ["App No", "Description", "Qty", "Weight"])
-    assert R.settle_layout(["", "1|2", "3|4"])[:2] == ("|", 1)
-    assert R.settle_layout([]) == (",", 0, [""])
+def layouts(spark, files):
+    rows = [(f, i, t) for f, lines in files.items() for i, t in enumerate(lines)]
+    df = spark.createDataFrame(rows, "file_id long, record_no int, record_text string")
+    return {r.file_id: (r.sep, r.header_no, r.names) for r in R.layouts(df, "file_id", "record_no", "record_text").collect()}
+
+
+def test_layouts(spark):
+    files = {
+        1: ["Report run weekly", "Stock;;;", "App No;Description;Qty;Weight", "A;b;1;2"], 2: ["", "1|2", "3|4"], 3: [None],
+        4: [f"filler {i}" for i in range(100)] + ["App No,Description,Quantity"] + ['A,"b, c",1'] * 150,  # the header is far down
+    }
+    assert layouts(spark, files) == {1: (";", 2, ["app_number", "description", "qty", "weight"]), 2: ("|", 1, ["1", "2"]), 3: (",", 0, [""]), 4: (",", 100, ["app_number", "description", "quantity"])}
+    assert layouts(spark, {}) == {}
+
+
+def test_plain_fields_are_the_strict_ones(spark):
+    texts = [",".join(p) for p in itertools.product(["", "a", '""', '"a"', '"a,b"', '"a""b"', 'a"b', '"""a"', '"a"""', '"', '""""', 'a""b'], repeat=2)] + ["", "x\ny", '"x\ny",z', "\x01,b", '"\x02",b']
+    for sep in R.SEPARATORS:
+        df = spark.createDataFrame([(t.replace(",", sep), sep) for t in texts], "t string, s string")
+        for r in df.select("t", R.plain_fields(F.col("t"), F.col("s")).alias("f")).collect():
+            strict = R.split_strict(r.t, sep)[0]
+            assert r.f == strict or (r.f is None and strict is not None and any(x in r.t for x in ('""', "\x01", "\x02"))), r
+
+
+def test_expressions_load_what_the_parse_loads(spark):
+    rng = random.Random(6)
+    cell = lambda: rng.choice(["", "A", '"b, c"', "5", "(1,5)", "£2.50", '"1,234.5"', "x", "31/12/2025", "31/02/2025", "5 March 2026", "Y", "maybe", "N/A", 'q"', '"open'])
+    lines = ["app_number,description,quantity,order_date,is_active"] + [",".join(cell() for _ in range(rng.choice([4, 5, 5, 5, 5, 6]))) for _ in range(1500)] + ["APP NO,Description,Quantity,Order Date,Is Active", "x" * 50_000]
+    df = spark.createDataFrame([(i, 1, i, t) for i, t in enumerate(lines)], "record_id long, file_id long, record_no int, record_text string")
+    got = {r.record_id: (r.kind, r["values"], r.reason, r.cost) for r in R.read_records(df).collect()}
+    assert got == {i: read(t) for i, t in enumerate(lines) if i}
+    assert {r.record_id: (r.reason, r.cost) for r in R.rejected(df).collect()} == {i: g[2:] for i, g in got.items() if g[0] == "failed"}
+    strict = {i for i, t in enumerate(lines) if i and (v := R.split_strict(t, ",")[0]) and len(v) == 5 and all(R.fits(x, R.COLUMN_TESTS.get(n)) for n, x in zip(NAMES, v)) and any(x.strip() for x in v) and R.column_name(v[1]) != "description"}
+    assert {i for i, g in got.items() if g[0] == "loaded"} == strict  # cost zero is what a strict reader takes
+
+
+def test_wide_records_are_parsed(spark):
+    names = tuple(f"c{i}" for i in range(299)) + ("quantity",)
+    kind, values, reason, cost = R.read_record(",".join(["v"] * 299 + ["x"]), ",", names)
+    assert (kind, cost, len(values)) == ("failed", 1.5, 300) and reason.endswith("value 'x' does not fit column 300")
+    assert R.read_record(",".join(["v"] * 300 + ["5"]), ",", names)[3] == 1.0
 
 
 def test_tables(spark):
