@@ -1,13 +1,14 @@
 """Duplicates hidden by formatting: records that differ only in white space, case, punctuation or the order of fields.
 
-Every column value is canonicalised: it is split into fields at its separators, and each field is reduced to its letters
-and digits. A field is encoded as an integer by a fixed 64-bit hash: a dictionary that needs no table, no join and no
-agreement between tasks, and gives the same code when a lost task is run again. A record is rewritten as the sorted tuple
-of its field codes, held as two independent 64-bit digests (128 bits), so what is shuffled is small whatever the length of
-the texts. Rows with equal tuples are collapsed at once, with map-side combine, before anything else happens to them.
+Columns are dictionary-encoded. Each distinct value is canonicalised once: it is split into fields at its separators, and
+each field is reduced to its letters and digits. The distinct fields are the dictionary; a field's identifier is an integer
+that follows from its place among the fields of its bucket in sorted order, so it is the same whenever a lost task runs
+again. A value is coded as the sorted integers of its fields, a record as the sorted integers of its values, and records are
+grouped by these compact tuples, exactly, with map-side combine. Rows refer to values by 128-bit digests (two hashes of the
+text itself, of different seeds), so no text is shuffled but that of distinct values and distinct fields.
 
 A writing without any separators is one long field. Its letters are those of its separated copies in their field order, so
-it is matched by the codes of the unseparated columns and takes over the tuple of the separated copies.
+it is matched by the digests of the unseparated columns and takes over the tuple of the separated copies.
 
 Defined cases: null, empty and punctuation-only columns have no fields; a record without any field belongs to no group;
 exact copies are copies; of several tuples that one unseparated writing fits, the smallest is taken. Texts are used whole.
@@ -15,55 +16,95 @@ exact copies are copies; of several tuples that one unseparated writing fits, th
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: A separator of fields: a semicolon, bar or line break; a comma that is not between two digits; a slash beside a blank.
-SEPARATOR = r"[;|\n\r]|(?<![0-9]),|,(?![0-9])|(?<=\s)/|/(?=\s)"
-#: Everything that does not belong to a field: neither letter nor digit, nor a point or comma between two digits.
-NOISE = r"(?U)[^\p{L}\p{N}.,]|(?<![0-9])[.,]|[.,](?![0-9])"
-_TUPLE, _WHOLE = ["k", "k2"], ["u", "u2"]
+from plumbline.functions.values import let
+from plumbline.plans.lineage import cut, join_to_keys
+
+#: Buckets of the dictionary; each is numbered by itself.
+BUCKETS = 4096
+_POINT, _COMMA, _CUT = "\x01", "\x02", "\x03"  # a point or comma between digits, and a border of fields, while a value is cut
 
 
 def fields_of(c: Column) -> Column:
-    """The canonical fields of a value in the order of writing."""
-    parts = F.split(F.lower(F.coalesce(c, F.lit(""))), SEPARATOR)
-    return F.filter(F.transform(parts, lambda x: F.regexp_replace(x, NOISE, "")), lambda x: x != "")
+    """The canonical fields of a value in the order of writing.
+
+    Fields end at a semicolon, bar or line break, at a comma that is not between two digits, and at a slash beside a blank.
+    Of a field stay its letters and digits, and a point or comma between two digits.
+    """
+    plain = F.when(c.rlike(f"[{_POINT}{_COMMA}{_CUT}]"), F.translate(c, _POINT + _COMMA + _CUT, "")).otherwise(c)
+    kept = lambda s: F.when(s.rlike("[0-9][.,][0-9]"), F.regexp_replace(F.regexp_replace(s, r"(?<=[0-9])\.(?=[0-9])", _POINT), "(?<=[0-9]),(?=[0-9])", _COMMA)).otherwise(s)
+    cut_at = lambda s: F.when(s.contains("/"), F.regexp_replace(s, r"(?<=\s)/|/(?=\s)", _CUT)).otherwise(s)
+    bare = F.regexp_replace(F.translate(let(let(F.lower(plain), kept), cut_at), ";|,\n\r", _CUT * 5), rf"(?U)[^\p{{L}}\p{{N}}{_POINT}{_COMMA}{_CUT}]+", "")
+    return F.filter(F.split(F.translate(bare, _POINT + _COMMA, ".,"), _CUT), lambda x: x != "")
+
+
+def _digest(c: Column, name: str) -> list[Column]:
+    """128 bits of a text or list: two hashes of it, of different seeds."""
+    return [F.xxhash64(c).alias(f"{name}1"), F.xxhash64(F.lit(1), c).alias(f"{name}2")]
+
+
+def dictionary(fields: DataFrame) -> DataFrame:
+    """(field, field_no, n) of the distinct texts of the column ``field``: distinct integers, and how often each occurs."""
+    distinct = fields.groupBy("field").agg(F.count("*").alias("n")).withColumn("bucket", F.pmod(F.xxhash64("field"), F.lit(BUCKETS)))
+    place = F.row_number().over(Window.partitionBy("bucket").orderBy("field"))
+    return distinct.select("field", (place.cast("long") * BUCKETS + F.col("bucket")).alias("field_no"), "n")
+
+
+def coded_values(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(v1, v2, t, u1, u2, n): of each distinct value of the columns its digest, the sorted integers of its fields, the digest
+    of its fields run together (null where it has none), and how many cells hold it."""
+    cells = df.select(F.explode(F.array(*[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in columns])).alias("value"))
+    values = cells.groupBy("value").agg(F.count("*").alias("n")).select(*_digest(F.col("value"), "v"), "n", fields_of(F.col("value")).alias("f"))
+    run = F.when(F.size("f") > 0, F.concat_ws("", "f"))
+    values = values.select("v1", "v2", "n", "f", *[F.when(run.isNotNull(), d).alias(f"u{i}") for i, d in enumerate(_digest(run, "u"), 1)])
+    long = values.select("v1", "v2", "n", "u1", "u2", F.explode_outer("f").alias("field"))
+    filled, empty = long.where("field is not null"), long.where("field is null")
+    numbers = dictionary(filled.select("field")).withColumnRenamed("n", "n_values")
+    coded = join_to_keys(filled, numbers, ["field"], "n_values").groupBy("v1", "v2").agg(F.array_sort(F.collect_list("field_no")).alias("t"), *[F.first(c).alias(c) for c in ("u1", "u2", "n")])
+    none = F.array().cast("array<bigint>")
+    return coded.select("v1", "v2", "t", "u1", "u2", "n").unionByName(empty.select("v1", "v2", none.alias("t"), "u1", "u2", "n"))
 
 
 def record_keys(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """(id, k, k2, u, u2, open): digests of the sorted field codes and of the unseparated columns; open if no separators."""
-    rows = df.select(F.col(f"`{key}`").alias("id"), *[fields_of(F.col(f"`{c}`")).alias(f"f{i}") for i, c in enumerate(columns)])
-    parts = [F.col(f"f{i}") for i in range(len(columns))]
-    whole = F.filter(F.array(*[F.concat_ws("", p) for p in parts]), lambda x: x != "")
-    codes = lambda a: F.array_sort(F.transform(a, lambda x: F.xxhash64(x)))
-    rows = rows.where(sum((F.size(p) for p in parts), F.lit(0)) > 0)
-    rows = rows.select("id", codes(F.concat(*parts)).alias("t"), codes(whole).alias("w"), (F.greatest(*[F.size(p) for p in parts]) <= 1).alias("open"))
-    return rows.select("id", F.xxhash64("t").alias("k"), F.xxhash64(F.lit(1), "t").alias("k2"), F.xxhash64("w").alias("u"), F.xxhash64(F.lit(1), "w").alias("u2"), "open")
+    """(id, t, u, open): the sorted integers of a record's fields, the sorted digests of its columns run together, and
+    whether it has no separators. Written once to the shared folder."""
+    rows = df.select(F.col(f"`{key}`").alias("id"), *[d for i, c in enumerate(columns) for d in _digest(F.coalesce(F.col(f"`{c}`"), F.lit("")), f"c{i}_")])
+    values = cut(coded_values(df, columns))
+    for i in range(len(columns)):
+        of = values.select(F.col("v1").alias(f"c{i}_1"), F.col("v2").alias(f"c{i}_2"), F.col("t").alias(f"t{i}"), F.when(F.col("u1").isNotNull(), F.struct("u1", "u2")).alias(f"u{i}"), F.col("n").alias("n"))
+        rows = join_to_keys(rows, of, [f"c{i}_1", f"c{i}_2"], "n").drop(f"c{i}_1", f"c{i}_2")
+    parts, runs = [F.col(f"t{i}") for i in range(len(columns))], [F.col(f"u{i}") for i in range(len(columns))]
+    rows = rows.where(reduce(lambda a, b: a + b, [F.size(p) for p in parts]) > 0)
+    return cut(rows.select("id", F.array_sort(F.concat(*parts)).alias("t"), F.array_sort(F.array_compact(F.array(*runs))).alias("u"), (F.greatest(F.lit(0), *[F.size(p) for p in parts]) <= 1).alias("open")))
 
 
 def _writings(rows: DataFrame) -> DataFrame:
-    """(k, k2, u, u2, id, n, r, r2): each distinct writing with its smallest id and count, and the tuple of its record."""
-    each = rows.groupBy(*_TUPLE, *_WHOLE).agg(F.min("id").alias("id"), F.count("*").alias("n"), F.min("open").alias("open"))
+    """(t, u, id, n, r): each distinct writing with its smallest id and count, and the tuple of its record."""
+    each = rows.groupBy("t", "u").agg(F.min("id").alias("id"), F.count("*").alias("n"), F.min("open").alias("open"))
     closed, unseparated = each.where("not open"), each.where("open")
-    wanted = unseparated.select(*_WHOLE).distinct()
-    known = closed.join(wanted, _WHOLE, "left_semi").groupBy(*_WHOLE).agg(F.min(F.struct(*_TUPLE)).alias("known"))
-    settled = unseparated.join(known, _WHOLE, "left").select(*_TUPLE, *_WHOLE, "id", "n", F.coalesce("known.k", "k").alias("r"), F.coalesce("known.k2", "k2").alias("r2"))
-    return closed.select(*_TUPLE, *_WHOLE, "id", "n", F.col("k").alias("r"), F.col("k2").alias("r2")).unionByName(settled)
+    wanted = unseparated.select("u").distinct()
+    known = closed.join(wanted, "u", "left_semi").groupBy("u").agg(F.min("t").alias("known"))
+    settled = unseparated.join(known, "u", "left").select("t", "u", "id", "n", F.coalesce("known", "t").alias("r"))
+    return closed.select("t", "u", "id", "n", F.col("t").alias("r")).unionByName(settled)
 
 
 def collapse(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """One row per record: (first id, n_copies)."""
-    return _writings(record_keys(df, key, columns)).groupBy("r", "r2").agg(F.min("id").alias(key), F.sum("n").alias("n_copies")).select(key, "n_copies")
+    return _writings(record_keys(df, key, columns)).groupBy("r").agg(F.min("id").alias(key), F.sum("n").alias("n_copies")).select(key, "n_copies")
 
 
 def copies(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """(first_id, copy_id): the smallest id of each record that is written more than once, with each of its other ids.
 
-    The rows meet one small row per writing of a repeated record, so a hot record is split by rows and never gathered.
+    The rows meet one small row per writing of a repeated record. Writings are broadcast if they are few; beyond, the
+    writings that very many rows have are broadcast alone, so no task ever holds the rows of a hot record.
     """
     rows = record_keys(df, key, columns)
     writings = _writings(rows)
-    repeated = writings.groupBy("r", "r2").agg(F.min("id").alias("first_id"), F.sum("n").alias("copies")).where("copies > 1")
-    members = writings.select(*_TUPLE, *_WHOLE, "r", "r2").join(repeated, ["r", "r2"]).select(*_TUPLE, *_WHOLE, "first_id")
-    return rows.join(members, [*_TUPLE, *_WHOLE]).where("id <> first_id").select("first_id", F.col("id").alias("copy_id"))
+    repeated = writings.groupBy("r").agg(F.min("id").alias("first_id"), F.sum("n").alias("copies")).where("copies > 1")
+    members = writings.select("t", "u", "n", "r").join(repeated, "r").select("t", "u", "n", "first_id")
+    return join_to_keys(rows, members, ["t", "u"], "n").where("id <> first_id").select("first_id", F.col("id").alias("copy_id"))
