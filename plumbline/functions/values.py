@@ -119,7 +119,7 @@ def number_text(c: Column) -> Column:
 
 def _number_text(x: Column) -> Column:
     size = F.abs(x)
-    written = let(x.cast("string"), lambda t: F.when(t.contains("E"), let(F.format_string("%.15E", x), lambda r: _exponent_text(x, F.when(r.cast("double") == x, r).otherwise(t)))).otherwise(t))
+    written = let(x.cast("string"), lambda t: F.when(t.contains("E"), let(F.format_string("%.15E", x), lambda r: _exponent_text(x, F.when(r.cast("double") == x, r).otherwise(F.format_string("%.16E", x))))).otherwise(t))
     return F.when(F.isnan(x), "nan").when(size == float("inf"), F.when(x > 0, "inf").otherwise("-inf")).when((x == F.floor(x)) & (size < 1e16), x.cast("decimal(38,0)").cast("string")).otherwise(written)
 
 

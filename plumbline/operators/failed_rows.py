@@ -35,6 +35,8 @@ from plumbline.plans.lineage import cut, join_to_keys
 
 SEPARATORS = "\t;|,"
 HEADER_FILL, HEADER_TEXT = 0.5, 0.7
+#: Where a header is looked for first; files without one there are read on.
+FIRST_RECORDS = 16
 COST_SEPARATOR, COST_QUOTE, COST_VALUE = 1.0, 1.0, 1.5
 
 #: Column name (normalised) to the test a value must pass.
@@ -93,10 +95,15 @@ def is_header_like(cell: str) -> bool:
     return False
 
 
+#: What may be a number once its dress is taken away; any other cell is no number, seen at its first other character.
+_MAY_BE_NUMBER = rf"(?i)^[-+0-9e._{G.CURRENCY_SIGNS}%,{WHITESPACE}]*$|^[-+\W]*(inf|nan)"
+
+
 def header_like(cell: Column) -> Column:
     """As ``is_header_like``."""
     bare = F.translate(cell, G.CURRENCY_SIGNS + "%," + WHITESPACE, "")
-    return (strip(cell) != "") & ~(bare.rlike(G.NUMBER) | bare.rlike(G.INFINITE) | bare.rlike("(?i)^[+-]?nan$") | bare.rlike(r"^[+-]?[0-9]+(_[0-9]+)+(\.[0-9]*)?$"))
+    number = bare.rlike(G.NUMBER) | bare.rlike(G.INFINITE) | bare.rlike("(?i)^[+-]?nan$") | bare.rlike(r"^[+-]?[0-9]+(_[0-9]+)+(\.[0-9]*)?$")
+    return F.when(cell.rlike(_MAY_BE_NUMBER), (strip(cell) != "") & ~number).otherwise(True)
 
 
 def _stray(text: str) -> int:
@@ -305,63 +312,82 @@ def plain_fields(text: Column, sep: Column) -> Column:
 def layouts(records: DataFrame, file: str, number: str, text: str) -> DataFrame:
     """(file, sep, header_no, names, n) of every file, from all of its records.
 
-    The separator is the most frequent one outside quotes; the header is the first record that is filled enough, measured
-    by the most frequent number of fields, and mostly text; else the first that is filled enough; else the first.
+    The separator is the most frequent one outside quotes, and a file is as wide as most of its records. The header is the
+    first record that is filled enough for that width and mostly text; else the first that is filled enough; else the first.
+    It is looked for in the first records of every file, and in all records of the files that have none there.
     """
     rows = records.select(F.col(file), F.col(number).alias("__no"), F.col(text).alias("__text")).where(F.col(file).isNotNull() & F.col("__no").isNotNull())
-    bare = F.regexp_replace(F.coalesce("__text", F.lit("")), '"[^"]*"', "")
-    counts = [F.sum(F.length(bare) - F.length(F.replace(bare, F.lit(s), F.lit("")))) for s in SEPARATORS]
-    seps = rows.groupBy(file).agg(F.count("*").alias("n"), *[c.alias(f"s{i}") for i, c in enumerate(counts)])
-    most = F.greatest(*[F.col(f"s{i}") for i in range(len(SEPARATORS))])
-    best = F.coalesce(F.when(most == 0, ","), *[F.when(F.col(f"s{i}") == most, s) for i, s in enumerate(SEPARATORS)])
-    seps = cut(seps.select(file, "n", best.alias("sep")))
-    cells = join_to_keys(rows, seps, [file], "n").select(file, "__no", plain_fields(F.col("__text"), F.col("sep")).alias("f"))
-    cells = cells.select(file, "__no", F.size("f").alias("fields"), F.size(F.filter("f", lambda x: strip(x) != "")).alias("filled"), F.size(F.filter("f", header_like)).alias("texts"))
-    titled = F.col("texts") >= HEADER_TEXT * F.col("filled")
-    shapes = cut(cells.groupBy(file, "fields", "filled").agg(F.count("*").alias("c"), F.min("__no").alias("first"), F.min(F.when(titled, F.col("__no"))).alias("titled")))
-    widths = shapes.where("filled > 0").groupBy(file, "fields").agg(F.sum("c").alias("c")).groupBy(file).agg(F.max(F.struct("c", "fields")).getField("fields").alias("width"))
-    enough = F.col("filled") >= HEADER_FILL * F.coalesce("width", F.lit(1))
-    places = shapes.join(widths, file, "left").groupBy(file).agg(F.min(F.when(enough, F.col("titled"))).alias("a"), F.min(F.when(enough, F.col("first"))).alias("b"), F.min("first").alias("c"))
-    heads = cut(places.select(file, F.coalesce("a", "b", "c").alias("header_no")).join(seps, file))
+    bare = F.when(F.col("__text").contains('"'), F.regexp_replace("__text", '"[^"]*"', "")).otherwise(F.coalesce("__text", F.lit("")))
+    counted = rows.select(file, "__no", F.coalesce(F.col("__text").rlike(r"(?U)[^\s;|,]"), F.lit(False)).alias("written"), bare.alias("b"))
+    counted = counted.select(file, "__no", "written", *[(F.length("b") - F.length(F.replace("b", F.lit(s), F.lit("")))).alias(f"s{i}") for i, s in enumerate(SEPARATORS)])
+    places = [F.col(f"s{i}") for i in range(len(SEPARATORS))]
+    shapes = cut(counted.groupBy(file, "written", *places).agg(F.count("*").alias("c"), F.min("__no").alias("first")))
+    sums = shapes.groupBy(file).agg(F.sum("c").alias("n"), F.min("first").alias("first"), *[F.sum(p * F.col("c")).alias(f"t{i}") for i, p in enumerate(places)])
+    totals = [F.col(f"t{i}") for i in range(len(SEPARATORS))]
+    chosen = F.coalesce(*[F.when((t > 0) & (t == F.greatest(*totals)), i) for i, t in enumerate(totals)], F.lit(SEPARATORS.index(",")))
+    seps = sums.select(file, "n", "first", chosen.alias("i"), F.element_at(F.array(*map(F.lit, SEPARATORS)), chosen + 1).alias("sep"))
+    widths = shapes.where("written").join(seps.select(file, "i"), file).groupBy(file, (F.element_at(F.array(*places), F.col("i") + 1) + 1).alias("fields")).agg(F.sum("c").alias("c"))
+    widths = widths.groupBy(file).agg(F.max(F.struct("c", "fields")).getField("fields").alias("width"))
+    files = cut(seps.join(widths, file, "left").select(file, "n", "first", "sep", F.coalesce("width", F.lit(1)).alias("width")))
+
+    def headers(of: DataFrame, some: DataFrame) -> DataFrame:
+        """(file, titled, filled): the first record that is filled enough and mostly text, and the first that is filled enough."""
+        cells = join_to_keys(some, of.select(file, "n", "sep", "width"), [file], "n").select(file, "__no", "width", plain_fields(F.col("__text"), F.col("sep")).alias("f"))
+        cells = cells.select(file, "__no", "f", F.size(F.filter("f", lambda x: strip(x) != "")).alias("filled"), "width").where(F.col("filled") >= HEADER_FILL * F.col("width"))
+        texts = F.size(F.filter("f", header_like)) >= HEADER_TEXT * F.col("filled")
+        return cells.select(file, "__no", texts.alias("texts")).groupBy(file).agg(F.min(F.when(F.col("texts"), F.col("__no"))).alias("titled"), F.min("__no").alias("filled"))
+
+    early = cut(headers(files, rows.where(F.col("__no") < FIRST_RECORDS)))
+    missing = files.join(early.where("titled is not null"), file, "left_anti")
+    found = early.where("titled is not null")
+    if not missing.isEmpty():
+        found = found.unionByName(headers(missing, rows))
+    heads = cut(files.join(found, file, "left").select(file, "n", "sep", F.coalesce("titled", "filled", "first").alias("header_no")))
     named = join_to_keys(rows, heads, [file], "n").where(F.col("__no") == F.col("header_no")).groupBy(file, "sep").agg(F.min("__text").alias("t"))
     return heads.join(named.select(file, _names_udf("t", "sep").alias("names")), file).select(file, "sep", "header_no", "names", "n")
 
 
-def _staged(records: DataFrame, key: str, file: str, number: str, text: str) -> DataFrame:
-    """(key, file, __text, sep, names, __fields, __kind): records below their header; the kind where expressions settle it."""
+def _below_header(records: DataFrame, key: str, file: str, number: str, text: str) -> DataFrame:
+    """(key, file, __text, sep, names) of the records below the header of their file."""
     rows = records.select(key, file, number, text)
     found = layouts(rows, file, number, text)
-    below = join_to_keys(rows, found, [file], "n").where(F.col(number) > F.col("header_no"))
-    staged = below.select(key, file, F.col(text).alias("__text"), "sep", "names", plain_fields(F.col(text), F.col("sep")).alias("__fields"))
-    fields, names = F.col("__fields"), F.col("names")
+    return join_to_keys(rows, found, [file], "n").where(F.col(number) > F.col("header_no")).select(key, file, F.col(text).alias("__text"), "sep", "names")
+
+
+def _settled(text: Column, sep: Column, names: Column) -> Column:
+    """(kind, fields) of a record where expressions settle it: blank, or loaded with these fields. Null elsewhere."""
+
+    def loads(fields: Column) -> Column:
+        def fit(column: str, test: str) -> Column:
+            place = F.array_position(names, column)
+            value = F.get(fields, (place - 1).cast("int"))
+            return (place == 0) | V.let(value, lambda v: is_placeholder(v) | _COLUMN_TESTS[test](v).isNotNull())
 
-    def fit(column: str, test: str) -> Column:
-        place = F.array_position(names, column)
-        value = F.get(fields, (place - 1).cast("int"))
-        return (place == 0) | is_placeholder(value) | _COLUMN_TESTS[test](value).isNotNull()
+        first = F.regexp_replace(F.regexp_replace(F.lower(strip(F.get(fields, F.lit(0)))), "[^a-z0-9]+", "_"), "^_+|_+$", "")
+        good = (F.size(fields) == F.size(names)) & (F.size(F.array_distinct(names)) == F.size(names)) & F.exists(fields, lambda x: strip(x) != "")
+        good = good & ~first.isin(*APP_NUMBER_KEYWORDS) & (first != F.get(names, F.lit(0)))  # a header otherwise, perhaps
+        for column, test in COLUMN_TESTS.items():
+            good = good & fit(column, test)
+        return F.when(good, F.struct(F.lit("loaded").alias("kind"), fields.alias("fields")))
 
-    first = F.regexp_replace(F.regexp_replace(F.lower(strip(F.get(fields, F.lit(0)))), "[^a-z0-9]+", "_"), "^_+|_+$", "")
-    no_header = ~first.isin(*APP_NUMBER_KEYWORDS) & (first != F.get(names, F.lit(0)))
-    good = (F.size(fields) == F.size(names)) & (F.size(F.array_distinct(names)) == F.size(names)) & F.exists(fields, lambda x: strip(x) != "") & no_header
-    for column, test in COLUMN_TESTS.items():
-        good = good & fit(column, test)
-    blank = F.coalesce(strip(F.replace("__text", F.col("sep"), F.lit(""))) == "", F.lit(True))
-    return staged.withColumn("__kind", F.when(blank, "blank").when(good, "loaded"))
+    blank = F.coalesce(strip(F.replace(text, sep, F.lit(""))) == "", F.lit(True))
+    none = F.lit(None).cast("array<string>")
+    return F.when(blank, F.struct(F.lit("blank").alias("kind"), none.alias("fields"))).otherwise(V.let(plain_fields(text, sep), loads))
 
 
 def read_records(records: DataFrame, key: str = "record_id", file: str = "file_id", number: str = "record_no", text: str = "record_text") -> DataFrame:
     """(key, file, kind, names, values, reason, cost) of every record below its file's header."""
-    staged = _staged(records, key, file, number, text)
-    settled = F.col("__kind").isNotNull()
-    open_only = [F.when(~settled, F.col(c)) for c in ("__text", "sep", "names")]
-    values = F.when(F.col("__kind") == "loaded", F.col("__fields")).otherwise(F.col("r.values"))
-    return staged.withColumn("r", _read_udf(*open_only)).select(key, file, F.coalesce("__kind", "r.kind").alias("kind"), "names", values.alias("values"), "r.reason", F.coalesce("r.cost", F.lit(0.0)).alias("cost"))
+    below = _below_header(records, key, file, number, text)
+    staged = below.withColumn("s", _settled(F.col("__text"), F.col("sep"), F.col("names")))
+    open_only = [F.when(F.col("s").isNull(), F.col(c)) for c in ("__text", "sep", "names")]
+    return staged.withColumn("r", _read_udf(*open_only)).select(key, file, F.coalesce("s.kind", "r.kind").alias("kind"), "names", F.coalesce("s.fields", "r.values").alias("values"), "r.reason", F.coalesce("r.cost", F.lit(0.0)).alias("cost"))
 
 
 def rejected(records: DataFrame, key: str = "record_id", file: str = "file_id", number: str = "record_no", text: str = "record_text") -> DataFrame:
     """(key, reason, cost) of the records that fail. Only those that expressions do not settle are parsed."""
-    staged = _staged(records, key, file, number, text).where("__kind is null")
-    return failed(staged.withColumn("r", _read_udf("__text", "sep", "names")).select(key, "r.*"), key)
+    below = _below_header(records, key, file, number, text)
+    still_open = below.where(_settled(F.col("__text"), F.col("sep"), F.col("names")).isNull())
+    return failed(still_open.withColumn("r", _read_udf("__text", "sep", "names")).select(key, "r.*"), key)
 
 
 def loaded(read: DataFrame, key: str, columns: list[str]) -> DataFrame:

@@ -50,3 +50,13 @@ def join_to_keys(rows: DataFrame, keys: DataFrame, on: Sequence[str], weight: st
     hot: Column = F.col(weight) > hot_rows
     cold = rows.join(keys.where(~hot).drop(weight), list(on))
     return cold if keys.where(hot).isEmpty() else cold.unionByName(rows.join(F.broadcast(keys.where(hot).drop(weight)), list(on)))
+
+
+def leave_out_keys(rows: DataFrame, keys: DataFrame, on: Sequence[str], weight: str, broadcast_rows: int = BROADCAST_ROWS, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The rows that ``join_to_keys`` leaves out, by the same bounds."""
+    keys = cut(keys)
+    if keys.count() <= broadcast_rows:
+        return rows.join(F.broadcast(keys.drop(weight)), list(on), "left_anti")
+    hot = keys.where(F.col(weight) > hot_rows).drop(weight)
+    rest = rows if hot.isEmpty() else rows.join(F.broadcast(hot), list(on), "left_anti")
+    return rest.join(keys.drop(weight), list(on), "left_anti")
