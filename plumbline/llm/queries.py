@@ -27,6 +27,10 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return visual_form.lookalike_pairs(table(spark, folder, "app_records"), "row_id", ["app_number", "description"], PLACEHOLDERS)
 
 
+def p2_classes(spark: SparkSession, folder: str) -> DataFrame:
+    return visual_form.lookalike_classes(table(spark, folder, "app_records"), "row_id", ["app_number", "description"], PLACEHOLDERS)
+
+
 def p2_one_form(spark: SparkSession, folder: str) -> DataFrame:
     df = table(spark, folder, "app_records")
     return df.select("row_id", visual_form.visual_form(F.col("app_number")).alias("app_number"), visual_form.visual_form(F.col("description")).alias("description"))
@@ -75,7 +79,7 @@ def p9_figures(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_one_form, p3_found, p3_built, p6_found, p6_collapsed, p7_ids, p8_found, p8_passages, p8_removal, p9_found, p9_figures)}
+    return {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_classes, p2_one_form, p3_found, p3_built, p6_found, p6_collapsed, p7_ids, p8_found, p8_passages, p8_removal, p9_found, p9_figures)}
 
 
 _WORDS = r"regexp_extract_all(lower(t), '[\p{L}\p{M}]+')"
@@ -86,8 +90,8 @@ _FIGURES = rf"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents
  k AS (SELECT doc_id, count(w) AS common FROM (SELECT doc_id, unnest(words) AS word FROM b) LEFT JOIN c ON w = word GROUP BY doc_id)
 SELECT b.doc_id, n_chars, k AS n_lines, n AS n_words, CASE WHEN n > 0 THEN length(array_to_string(words, '')) / n END AS mean_word_length, CASE WHEN k > 0 THEN n / k END AS words_per_line, CASE WHEN clauses > 0 THEN n / clauses END AS words_per_clause,
  CASE WHEN n_chars > 0 THEN length(regexp_replace(t, '[\p{{L}}\p{{M}}\p{{N}}\s\x0b]+', '', 'g')) / n_chars END AS symbol_ratio, CASE WHEN n_chars > 0 THEN length(regexp_replace(t, '[^0-9]+', '', 'g')) / n_chars END AS digit_ratio,
- CASE WHEN n_chars > 0 THEN length(regexp_replace(t, '\P{{Lu}}+', '', 'g')) / n_chars END AS upper_ratio, CASE WHEN k > 0 THEN len(list_filter(lines, lambda x: regexp_matches(x, '[.!?:…"”»]\s*$'))) / k END AS line_end_share,
- CASE WHEN k > 0 THEN len(list_filter(lines, lambda x: regexp_matches(x, '^\s*([-*•–#|\[]|[0-9]+[.)])'))) / k END AS bullet_share, CASE WHEN n > 0 THEN coalesce(common, 0) / n END AS common_share, CASE WHEN n > 0 THEN len(list_distinct(words)) / n END AS distinct_share
+ CASE WHEN n_chars > 0 THEN length(regexp_replace(t, '\P{{Lu}}+', '', 'g')) / n_chars END AS upper_ratio, CASE WHEN k > 0 THEN len(list_filter(lines, lambda x: regexp_matches(x, '[.!?:…"”»][\s\x0b]*$'))) / k END AS line_end_share,
+ CASE WHEN k > 0 THEN len(list_filter(lines, lambda x: regexp_matches(x, '^[\s\x0b]*([-*•–#|\[]|[0-9]+[.)])'))) / k END AS bullet_share, CASE WHEN n > 0 THEN coalesce(common, 0) / n END AS common_share, CASE WHEN n > 0 THEN len(list_distinct(words)) / n END AS distinct_share
 FROM b LEFT JOIN k ON k.doc_id = b.doc_id"""
 
 

@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plumbline.plans.lineage import cut, join_to_keys
+
 # Letters of other scripts that print like a Latin one, in the order of the Latin letters.
 CYRILLIC_LOOKALIKES = {"А": "A", "В": "B", "С": "C", "Е": "E", "Н": "H", "І": "I", "Ј": "J", "К": "K", "М": "M", "О": "O", "Р": "P", "Ѕ": "S", "Т": "T", "Х": "X", "У": "Y", "Ү": "Y", "Ԛ": "Q", "Ԝ": "W", "а": "a", "с": "c", "ԁ": "d", "е": "e", "һ": "h", "і": "i", "ј": "j", "ӏ": "l", "о": "o", "р": "p", "ԛ": "q", "ѕ": "s", "х": "x", "у": "y", "ѵ": "v", "ԝ": "w"}
 GREEK_LOOKALIKES = {"Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X", "ο": "o", "ν": "v", "α": "a", "ρ": "p", "ι": "i", "κ": "k", "υ": "u", "ϲ": "c", "ϳ": "j", "Ϲ": "C"}
@@ -30,7 +32,7 @@ HYPHENS = "‐‑‒–—―−˗﹘﹣－⁃֊"
 LIGATURES = {"ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "st", "ﬆ": "st", "Ĳ": "IJ", "ĳ": "ij", "Ǉ": "LJ", "ǈ": "Lj", "ǉ": "lj", "Ǌ": "NJ", "ǋ": "Nj", "ǌ": "nj", "Ǆ": "DŽ", "ǅ": "Dž", "ǆ": "dž"}
 INVISIBLE_BESIDES_FORMATS = "͏ᅟᅠ឴឵ㅤﾠ"
 
-TOP = 0x30000  # code points from here on are copied
+TOP = 0xE0200  # code points from here on are for private use and are copied
 
 
 def _replacement(c: str) -> str | None:
@@ -38,7 +40,7 @@ def _replacement(c: str) -> str | None:
     o, kind = ord(c), unicodedata.category(c)
     if c in HYPHENS:
         return "-"
-    if kind == "Cf" or c in INVISIBLE_BESIDES_FORMATS or 0xFE00 <= o <= 0xFE0F or 0x180B <= o <= 0x180D or (kind == "Cc" and c not in "\t\n\r\x0b\x0c\x85"):
+    if kind == "Cf" or c in INVISIBLE_BESIDES_FORMATS or 0xFE00 <= o <= 0xFE0F or 0xE0100 <= o <= 0xE01EF or 0x180B <= o <= 0x180D or (kind == "Cc" and c not in "\t\n\r\x0b\x0c\x85"):
         return ""
     if kind == "Zs" or c in "\t\x0b\x0c\x85  ":
         return " "
@@ -64,7 +66,7 @@ def lookalikes() -> dict[str, str]:
 def _tables() -> tuple[np.ndarray, ...]:
     """Length, place (0: stays) and text of each replacement, combining class, sorted (base, mark) pairs, their composition."""
     length, place, pool, ccc, pairs = np.ones(TOP, np.int8), np.zeros(TOP, np.int32), [0], np.zeros(TOP, np.uint8), {}
-    for o in range(TOP):
+    for o in (*range(0x30000), *range(0xE0000, TOP)):  # nothing is assigned between
         if 0xD800 <= o < 0xE000:
             continue
         c = chr(o)
@@ -174,6 +176,9 @@ def _one_form_udf(texts: pa.Array) -> pa.Array:
     return one_form(texts)
 
 
+_one_form_udf = _one_form_udf.asNondeterministic()  # so that no filter on its result moves below it and has it run twice
+
+
 #: Texts that are in the one form already: printable ASCII, without control characters.
 _PLAIN = r"^[\x20-\x7E\n\r]*$"
 
@@ -189,21 +194,48 @@ def comparison_form(c: Column) -> Column:
     return F.lower(F.btrim(visual_form(c), F.lit(" \t\n\r")))
 
 
+def _forms(df: DataFrame, key: str, fields: list[str], blanks: list[str]) -> DataFrame:
+    """(id, field_no, f1, f2, spelling) of every filled value: 128 bits of its compared form, 64 of its spelling."""
+    cells = df.select(F.col(f"`{key}`").alias("id"), F.explode(F.array(*[F.struct(F.lit(i).alias("field_no"), F.col(f"`{f}`").alias("v")) for i, f in enumerate(fields)])).alias("s")).select("id", "s.field_no", "s.v").where("v is not null")
+    formed = cells.select("id", "field_no", "v", comparison_form(F.col("v")).alias("form")).where(~F.col("form").isin([*blanks, ""]))
+    return formed.select("id", "field_no", F.xxhash64("form").alias("f1"), F.xxhash64(F.lit(1), "form").alias("f2"), F.xxhash64(F.lower(F.btrim("v", F.lit(" ")))).alias("spelling"))
+
+
+_GROUP = ["field_no", "f1", "f2"]
+
+
+def _members(df: DataFrame, key: str, fields: list[str], blanks: list[str]) -> DataFrame:
+    """The rows of ``_forms`` whose form has several spellings, with n (rows of the form). Groups with a single spelling are
+    dropped by an aggregate with map-side combine before any row is matched."""
+    forms = _forms(df, key, fields, blanks)
+    groups = forms.groupBy(*_GROUP).agg(F.count("*").alias("n"), F.min("spelling").alias("lo"), F.max("spelling").alias("hi")).where("lo <> hi")
+    return join_to_keys(forms, groups.select(*_GROUP, "n", F.col("n").alias("size")), _GROUP, "n")
+
+
+def lookalike_classes(df: DataFrame, key: str, fields: list[str], blanks: list[str]) -> DataFrame:
+    """(field_name, <key>, class_id, spelling_id): the values that print like another spelling of them, without any pairs.
+
+    A class is all rows whose values print alike, named by its smallest id; a spelling is the rows of a class that differ by
+    no more than outer blanks and letter case, named alike. Two rows print alike and differ where they have one class and
+    two spellings, so all pairs follow from this.
+    """
+    rows = cut(_members(df, key, fields, blanks))
+    spellings = cut(rows.groupBy(*_GROUP, "spelling").agg(F.min("id").alias("spelling_id"), F.count("*").alias("n")))
+    named = spellings.join(spellings.groupBy(*_GROUP).agg(F.min("spelling_id").alias("class_id")), _GROUP)
+    name = F.element_at(F.array(*map(F.lit, fields)), F.col("field_no") + 1)
+    return join_to_keys(rows, named, [*_GROUP, "spelling"], "n").select(name.alias("field_name"), F.col("id").alias(key), "class_id", "spelling_id")
+
+
 def lookalike_pairs(df: DataFrame, key: str, fields: list[str], blanks: list[str], hot: int = 4096) -> DataFrame:
     """Pairs of rows whose values of a field print alike but differ by more than outer blanks and letter case.
 
     Result: (field_name, <key>_a, <key>_b) with <key>_a < <key>_b. Null, blank and placeholder values form no pairs; equal
-    spellings form none either. Groups with a single spelling are dropped by an aggregate with map-side combine before any
-    row is matched; the rest are matched on the compared form, and groups of more than ``hot`` rows are spread over several
-    buckets on one side and copied on the other, so no task holds a whole hot group.
+    spellings form none either. What is asked for grows with the square of a group (``lookalike_classes`` does not); groups
+    of more than ``hot`` rows are spread over several buckets on one side and copied on the other, so no task holds a whole
+    hot group.
     """
-    long = df.select(F.col(f"`{key}`").alias("id"), F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f"`{f}`").alias("v")) for f in fields])).alias("s")).select("id", "s.field_name", "s.v").where("v is not null")
-    long = long.withColumn("form", comparison_form(F.col("v"))).where(~F.col("form").isin([*blanks, ""]))
-    long = long.select("id", "field_name", "form", F.xxhash64(F.lower(F.btrim("v", F.lit(" ")))).alias("spelling"))
-    groups = long.groupBy("field_name", "form").agg(F.count("*").alias("n"), F.min("spelling").alias("lo"), F.max("spelling").alias("hi")).where("lo <> hi")
-    groups = groups.select("field_name", "form", F.ceil(F.col("n") / hot).cast("int").alias("buckets"))
-    rows = long.join(groups, ["field_name", "form"])
-    a = rows.withColumn("bucket", F.pmod(F.xxhash64("id"), F.col("buckets")).cast("int")).select(F.col("id").alias(f"{key}_a"), F.col("spelling").alias("sa"), "field_name", "form", "bucket")
-    b = rows.withColumn("bucket", F.explode(F.sequence(F.lit(0), F.col("buckets") - 1))).select(F.col("id").alias(f"{key}_b"), F.col("spelling").alias("sb"), "field_name", "form", "bucket")
-    pairs = a.join(b, ["field_name", "form", "bucket"]).where((F.col(f"{key}_a") < F.col(f"{key}_b")) & (F.col("sa") != F.col("sb")))
-    return pairs.select("field_name", f"{key}_a", f"{key}_b")
+    rows = cut(_members(df, key, fields, blanks)).withColumn("buckets", F.ceil(F.col("size") / hot).cast("int"))
+    a = rows.select(F.col("id").alias(f"{key}_a"), F.col("spelling").alias("sa"), *_GROUP, F.pmod(F.xxhash64("id"), F.col("buckets")).cast("int").alias("bucket"))
+    b = rows.select(F.col("id").alias(f"{key}_b"), F.col("spelling").alias("sb"), *_GROUP, F.explode(F.sequence(F.lit(0), F.col("buckets") - 1)).alias("bucket"))
+    pairs = a.join(b, [*_GROUP, "bucket"]).where((F.col(f"{key}_a") < F.col(f"{key}_b")) & (F.col("sa") != F.col("sb")))
+    return pairs.select(F.element_at(F.array(*map(F.lit, fields)), F.col("field_no") + 1).alias("field_name"), f"{key}_a", f"{key}_b")
