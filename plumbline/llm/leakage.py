@@ -13,16 +13,19 @@ words with up to three such edits, and any longer passage, leave five words in a
 searching phrases of five.
 
 Defined cases: null and empty texts and items hold nothing; items of fewer than 20 words cannot leak; equal items leak
-together; documents of any length are indexed whole. Test items are handed to the tasks in blocks of bounded size.
+together; documents of any length are indexed whole. Test items are compiled on the driver in blocks of a bounded number
+of words, one at a time, and each block is broadcast: its size is known, and every worker unpacks it once.
 """
 
 from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,35 +36,66 @@ PHRASE = 5
 PASSAGE = 20
 ONE_IN = 7
 SHARD_WORDS = 200_000
-ITEMS_PER_BLOCK = 5_000
+WORDS_PER_BLOCK = 2_000_000
 SAMPLE = 16
 BAND = 4
 _WORD = regex.compile(r"[^\W_]+")
 
 
+class _Bare(dict):
+    """Characters without their marks and in compatible form, found out once each."""
+
+    def __missing__(self, code: int) -> str:
+        self[code] = bare = "".join(c for c in unicodedata.normalize("NFKD", chr(code)) if not unicodedata.combining(c))
+        return bare
+
+
+_BARE = _Bare()
+#: Texts that the visual form would not change but for blanks, which part words all the same.
+_PLAIN = r"^[\x20-\x7E\t\n\r\x0b\x0c]*$"
+
+
 def words_of(text: str) -> list[str]:
     """The words of a text that is in visual form already."""
     text = text.lower()
-    if not text.isascii():
-        text = "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
-    return _WORD.findall(text)
+    return _WORD.findall(text if text.isascii() else text.translate(_BARE))
+
+
+def forms_of(texts: pa.Array) -> list[str | None]:
+    """Texts in visual form; those that are plain already are left alone."""
+    out = texts.to_pylist()
+    odd = pa.compute.indices_nonzero(pa.compute.invert(pa.compute.match_substring_regex(texts, _PLAIN)))
+    for i, form in zip(odd.to_pylist(), one_form(texts.take(odd)).to_pylist()):
+        out[i] = form
+    return out
 
 
 def suffix_order(text: np.ndarray) -> np.ndarray:
-    """Suffix order of an integer array by prefix doubling."""
-    n = len(text)
-    rank = np.unique(text, return_inverse=True)[1].astype(np.int64)
-    step = 1
+    """Suffix order of an integer array by prefix doubling, which goes on only among suffixes that are still alike.
+
+    The first round sorts by as many symbols as fit one integer. A suffix's rank is the place of the first of those like it.
+    """
+    n, bits = len(text), max(1, int(text.max() + 1).bit_length())
+    step = max(1, 62 // bits)
+    key = np.zeros(n, np.int64)
+    for k in range(step):
+        key <<= bits
+        key[: max(0, n - k)] |= text[k:] + 1
+    order = np.argsort(key, kind="stable")
+    at, sorted_key = np.arange(n), key[order]
+    rank = np.empty(n, np.int64)
     while True:
-        second = np.zeros(n, np.int64)
-        second[: n - step] = rank[step:] + 1
-        key = rank * (n + 1) + second
-        order = np.argsort(key, kind="stable")
-        new = np.empty(n, np.int64)
-        new[order] = np.cumsum(np.concatenate([[0], key[order][1:] != key[order][:-1]]))
-        rank = new
-        if rank[order[-1]] == n - 1:
+        first = np.concatenate([[True], sorted_key[1:] != sorted_key[:-1]])
+        rank[order[at]] = at[np.maximum.accumulate(np.where(first, np.arange(len(at)), 0))]
+        alone = first & np.concatenate([first[1:], [True]])
+        at = at[~alone]
+        if not len(at):
             return order
+        suffix = order[at]
+        after = np.where(suffix + step < n, rank[np.minimum(suffix + step, n - 1)] + 1, 0)
+        key = rank[suffix] * (n + 1) + after
+        turn = np.argsort(key, kind="stable")
+        order[at], sorted_key = suffix[turn], key[turn]
         step *= 2
 
 
@@ -123,8 +157,7 @@ class Items:
     """Test items as symbols: 0 ends a shard, 1 is any other word, the words of the items follow."""
 
     def __init__(self, items: list[tuple[object, str | None]]) -> None:
-        texts = one_form(pa.array([t for _, t in items], pa.string())).to_pylist()
-        split = [(i, words_of(t)) for (i, _), t in zip(items, texts) if t]
+        split = [(i, words_of(t)) for (i, _), t in zip(items, forms_of(pa.array([t for _, t in items], pa.string()))) if t]
         split = [(i, w) for i, w in split if len(w) >= PASSAGE]
         self.ids = [i for i, _ in split]
         self.symbol: dict[str, int] = {}
@@ -298,11 +331,13 @@ def passages(df: DataFrame, key: str, text: str, benchmark: DataFrame, item_key:
     id_type, item_type = df.schema[key].dataType.simpleString(), benchmark.schema[item_key].dataType.simpleString()
     schema = f"doc_id {id_type}, item_id {item_type}, n_words int, n_edits int, first_word int, last_word int"
     docs = df.select(key, text).where(f"`{text}` is not null and `{text}` <> ''")
-    result = None
+    context = df.sparkSession.sparkContext
+
+    def search(block: list[tuple[object, str | None]]) -> DataFrame:
+        compiled = context.broadcast(Items(block))
 
-    def search(block: list[tuple[object, str | None]]):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            items, ids, held, count = Items(block), [], [], 0
+            items, ids, held, count = compiled.value, [], [], 0
             arrow = None
 
             def flush() -> pa.RecordBatch:
@@ -313,10 +348,11 @@ def passages(df: DataFrame, key: str, text: str, benchmark: DataFrame, item_key:
                 for _ in batches:
                     pass
                 return
+            symbol = items.symbol.get
             for batch in batches:
                 arrow = [batch.schema.field(0).type, pa.int64() if isinstance(items.ids[0], int) and item_type == "bigint" else (pa.int32() if item_type == "int" else pa.string()), *[pa.int32()] * 4]
-                for i, t in zip(batch.column(0).to_pylist(), one_form(batch.column(1))):
-                    symbols = np.array([items.symbol.get(w, 1) for w in words_of(t.as_py())], np.int64)
+                for i, t in zip(batch.column(0).to_pylist(), forms_of(batch.column(1))):
+                    symbols = np.array([symbol(w, 1) for w in words_of(t)], np.int64)
                     if len(symbols) >= PASSAGE - PASSAGE // ONE_IN - 1:
                         ids.append(i)
                         held.append(symbols)
@@ -327,18 +363,18 @@ def passages(df: DataFrame, key: str, text: str, benchmark: DataFrame, item_key:
             if held:
                 yield flush()
 
-        return run
+        return docs.mapInArrow(run, schema)
 
-    block: list[tuple[object, str | None]] = []
+    parts, block, words = [], [], 0
     for row in benchmark.select(item_key, item_text).toLocalIterator():
         block.append((row[0], row[1]))
-        if len(block) == ITEMS_PER_BLOCK:
-            part = docs.mapInArrow(search(block), schema)
-            result, block = part if result is None else result.unionByName(part), []
-    if block or result is None:
-        part = docs.mapInArrow(search(block), schema)
-        result = part if result is None else result.unionByName(part)
-    return result
+        words += len(row[1] or "") // 4 + 1
+        if words >= WORDS_PER_BLOCK:
+            parts.append(search(block))
+            block, words = [], 0
+    if block or not parts:
+        parts.append(search(block))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def removal_spans(passages: DataFrame) -> DataFrame:

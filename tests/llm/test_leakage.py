@@ -21,7 +21,8 @@ def test_index_finds_what_a_scan_finds():
 
 
 def test_suffix_order():
-    for text in ([0], [1, 0], [2, 1, 2, 1, 2, 0], [1] * 50 + [0]):
+    r = np.random.default_rng(5)
+    for text in ([0], [1, 0], [2, 1, 2, 1, 2, 0], [1] * 50 + [0], [*r.integers(1, 3, 300), 0], [*np.tile(r.integers(1, 2000, 40), 9), 0], [*r.integers(1, 1 << 40, 60), 0]):
         a = np.array(text, np.int64)
         assert L.suffix_order(a).tolist() == sorted(range(len(text)), key=lambda i: text[i:])
 
@@ -69,7 +70,7 @@ def test_repeats_long_and_empty(spark):
 
 def test_blocks_of_items(spark, monkeypatch):
     docs = [(i, t) for i, t in ITEMS[:8]]
-    monkeypatch.setattr(L, "ITEMS_PER_BLOCK", 3)
+    monkeypatch.setattr(L, "WORDS_PER_BLOCK", 150)
     assert found(spark, docs) == [(i, i) for i in range(1, 9)]
 
 
