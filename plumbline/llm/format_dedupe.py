@@ -1,14 +1,15 @@
 """Duplicates hidden by formatting: records that differ only in white space, case, punctuation or the order of fields.
 
-Columns are dictionary-encoded. Each distinct value is canonicalised once: it is split into fields at its separators, and
-each field is reduced to its letters and digits. The distinct fields are the dictionary; a field's identifier is an integer
-that follows from its place among the fields of its bucket in sorted order, so it is the same whenever a lost task runs
-again. A value is coded as the sorted integers of its fields, a record as the sorted integers of its values, and records are
-grouped by these compact tuples, exactly, with map-side combine. Rows refer to values by 128-bit digests (two hashes of the
-text itself, of different seeds), so no text is shuffled but that of distinct values and distinct fields.
+Equal rows are collapsed first, so each distinct writing is canonicalised once: its columns are split into fields at their
+separators, and each field is reduced to its letters and digits. The distinct fields are the dictionary. A field's
+identifier is the integer that a 64-bit hash gives it, once the dictionary has shown that no other field has it; fields that
+do share one are told apart by their place among those, so identifiers are exact, need no join and are the same when a lost
+task runs again. A record is rewritten as the sorted tuple of its fields' integers, and records are grouped by these compact
+tuples, with map-side combine. No text is shuffled but that of distinct writings and distinct fields.
 
 A writing without any separators is one long field. Its letters are those of its separated copies in their field order, so
-it is matched by the digests of the unseparated columns and takes over the tuple of the separated copies.
+it is matched by a 128-bit digest of the unseparated columns (two hashes of the text, of different seeds) and takes over the
+tuple of the separated copies.
 
 Defined cases: null, empty and punctuation-only columns have no fields; a record without any field belongs to no group;
 exact copies are copies; of several tuples that one unseparated writing fits, the smallest is taken. Texts are used whole.
@@ -16,16 +17,14 @@ exact copies are copies; of several tuples that one unseparated writing fits, th
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.values import let
 from plumbline.plans.lineage import cut, join_to_keys
 
-#: Buckets of the dictionary; each is numbered by itself.
-BUCKETS = 4096
+#: Fields that share a hash with another: at 64 bits some two in ten billion. More of them mean that something is wrong.
+MAX_SHARED = 10_000
 _POINT, _COMMA, _CUT = "\x01", "\x02", "\x03"  # a point or comma between digits, and a border of fields, while a value is cut
 
 
@@ -42,59 +41,47 @@ def fields_of(c: Column) -> Column:
     return F.filter(F.split(F.translate(bare, _POINT + _COMMA, ".,"), _CUT), lambda x: x != "")
 
 
-def _digest(c: Column, name: str) -> list[Column]:
-    """128 bits of a text or list: two hashes of it, of different seeds."""
-    return [F.xxhash64(c).alias(f"{name}1"), F.xxhash64(F.lit(1), c).alias(f"{name}2")]
-
-
-def dictionary(fields: DataFrame) -> DataFrame:
-    """(field, field_no, n) of the distinct texts of the column ``field``: distinct integers, and how often each occurs."""
-    distinct = fields.groupBy("field").agg(F.count("*").alias("n")).withColumn("bucket", F.pmod(F.xxhash64("field"), F.lit(BUCKETS)))
-    place = F.row_number().over(Window.partitionBy("bucket").orderBy("field"))
-    return distinct.select("field", (place.cast("long") * BUCKETS + F.col("bucket")).alias("field_no"), "n")
-
-
-def coded_values(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(v1, v2, t, u1, u2, n): of each distinct value of the columns its digest, the sorted integers of its fields, the digest
-    of its fields run together (null where it has none), and how many cells hold it."""
-    cells = df.select(F.explode(F.array(*[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in columns])).alias("value"))
-    values = cells.groupBy("value").agg(F.count("*").alias("n")).select(*_digest(F.col("value"), "v"), "n", fields_of(F.col("value")).alias("f"))
-    run = F.when(F.size("f") > 0, F.concat_ws("", "f"))
-    values = values.select("v1", "v2", "n", "f", *[F.when(run.isNotNull(), d).alias(f"u{i}") for i, d in enumerate(_digest(run, "u"), 1)])
-    long = values.select("v1", "v2", "n", "u1", "u2", F.explode_outer("f").alias("field"))
-    filled, empty = long.where("field is not null"), long.where("field is null")
-    numbers = dictionary(filled.select("field")).withColumnRenamed("n", "n_values")
-    coded = join_to_keys(filled, numbers, ["field"], "n_values").groupBy("v1", "v2").agg(F.array_sort(F.collect_list("field_no")).alias("t"), *[F.first(c).alias(c) for c in ("u1", "u2", "n")])
-    none = F.array().cast("array<bigint>")
-    return coded.select("v1", "v2", "t", "u1", "u2", "n").unionByName(empty.select("v1", "v2", none.alias("t"), "u1", "u2", "n"))
-
-
-def record_keys(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """(id, t, u, open): the sorted integers of a record's fields, the sorted digests of its columns run together, and
-    whether it has no separators. Written once to the shared folder."""
-    rows = df.select(F.col(f"`{key}`").alias("id"), *[d for i, c in enumerate(columns) for d in _digest(F.coalesce(F.col(f"`{c}`"), F.lit("")), f"c{i}_")])
-    values = cut(coded_values(df, columns))
-    for i in range(len(columns)):
-        of = values.select(F.col("v1").alias(f"c{i}_1"), F.col("v2").alias(f"c{i}_2"), F.col("t").alias(f"t{i}"), F.when(F.col("u1").isNotNull(), F.struct("u1", "u2")).alias(f"u{i}"), F.col("n").alias("n"))
-        rows = join_to_keys(rows, of, [f"c{i}_1", f"c{i}_2"], "n").drop(f"c{i}_1", f"c{i}_2")
-    parts, runs = [F.col(f"t{i}") for i in range(len(columns))], [F.col(f"u{i}") for i in range(len(columns))]
-    rows = rows.where(reduce(lambda a, b: a + b, [F.size(p) for p in parts]) > 0)
-    return cut(rows.select("id", F.array_sort(F.concat(*parts)).alias("t"), F.array_sort(F.array_compact(F.array(*runs))).alias("u"), (F.greatest(F.lit(0), *[F.size(p) for p in parts]) <= 1).alias("open")))
-
-
-def _writings(rows: DataFrame) -> DataFrame:
-    """(t, u, id, n, r): each distinct writing with its smallest id and count, and the tuple of its record."""
-    each = rows.groupBy("t", "u").agg(F.min("id").alias("id"), F.count("*").alias("n"), F.min("open").alias("open"))
-    closed, unseparated = each.where("not open"), each.where("open")
+def coder(fields: DataFrame, hashed=F.xxhash64):
+    """The integers of an array of fields as an expression, exact for the distinct texts of the column ``field``."""
+    numbers = fields.groupBy("field").agg(F.count("*").alias("n")).select("field", hashed("field").alias("field_no"))
+    shared = numbers.groupBy("field_no").agg(F.count("*").alias("n")).where("n > 1")
+    rows = numbers.join(shared, "field_no", "left_semi").orderBy("field_no", "field").limit(MAX_SHARED + 1).collect() if not shared.isEmpty() else []
+    if len(rows) > MAX_SHARED:
+        raise ValueError(f"more than {MAX_SHARED} fields share a hash")
+    place: dict[str, int] = {}
+    for i, r in enumerate(rows):
+        place[r.field] = 0 if not i or rows[i - 1].field_no != r.field_no else place[rows[i - 1].field] + 1
+    if not place:
+        return lambda array: F.transform(array, lambda x: hashed(x))
+    places = F.create_map(*[F.lit(x) for k, v in place.items() for x in (k, v)])
+    return lambda array: F.flatten(F.transform(array, lambda x: F.when(places[x].isNotNull(), F.array(hashed(x), places[x].cast("long"))).otherwise(F.array(hashed(x)))))
+
+
+def _row_digest(columns: list[str]) -> list[Column]:
+    """128 bits of a row's texts as they are written, nulls and empty texts alike."""
+    texts = [F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in columns]
+    return [F.xxhash64(*texts).alias("w1"), F.xxhash64(F.lit(1), *texts).alias("w2")]
+
+
+def _writings(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """(w1, w2, id, n, r): each distinct writing with its smallest id and count, and the tuple of its record."""
+    distinct = df.groupBy(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(f"c{i}") for i, c in enumerate(columns)]).agg(F.min(f"`{key}`").alias("id"), F.count("*").alias("n"))
+    names = [f"c{i}" for i in range(len(columns))]
+    rows = distinct.select("id", "n", *_row_digest(names), F.array(*[fields_of(F.col(c)) for c in names]).alias("f"))
+    codes = coder(rows.select(F.explode(F.flatten("f")).alias("field")))
+    runs = F.array_sort(F.filter(F.transform("f", lambda x: F.concat_ws("", x)), lambda x: x != ""))
+    coded = rows.select("id", "n", "w1", "w2", F.array_sort(codes(F.flatten("f"))).alias("t"), let(runs, lambda x: F.struct(F.xxhash64(x).alias("a"), F.xxhash64(F.lit(1), x).alias("b"))).alias("u"), F.forall("f", lambda x: F.size(x) <= 1).alias("open"))
+    coded = cut(coded).where(F.size("t") > 0)
+    closed, unseparated = coded.where("not open").withColumnRenamed("t", "r"), coded.where("open")
     wanted = unseparated.select("u").distinct()
-    known = closed.join(wanted, "u", "left_semi").groupBy("u").agg(F.min("t").alias("known"))
-    settled = unseparated.join(known, "u", "left").select("t", "u", "id", "n", F.coalesce("known", "t").alias("r"))
-    return closed.select("t", "u", "id", "n", F.col("t").alias("r")).unionByName(settled)
+    known = closed.join(wanted, "u", "left_semi").groupBy("u").agg(F.min("r").alias("known"))
+    settled = unseparated.join(known, "u", "left").withColumn("r", F.coalesce("known", "t"))
+    return closed.select("w1", "w2", "id", "n", "r").unionByName(settled.select("w1", "w2", "id", "n", "r"))
 
 
 def collapse(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """One row per record: (first id, n_copies)."""
-    return _writings(record_keys(df, key, columns)).groupBy("r").agg(F.min("id").alias(key), F.sum("n").alias("n_copies")).select(key, "n_copies")
+    return _writings(df, key, columns).groupBy("r").agg(F.min("id").alias(key), F.sum("n").alias("n_copies")).select(key, "n_copies")
 
 
 def copies(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
@@ -103,8 +90,8 @@ def copies(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     The rows meet one small row per writing of a repeated record. Writings are broadcast if they are few; beyond, the
     writings that very many rows have are broadcast alone, so no task ever holds the rows of a hot record.
     """
-    rows = record_keys(df, key, columns)
-    writings = _writings(rows)
+    writings = _writings(df, key, columns)
     repeated = writings.groupBy("r").agg(F.min("id").alias("first_id"), F.sum("n").alias("copies")).where("copies > 1")
-    members = writings.select("t", "u", "n", "r").join(repeated, "r").select("t", "u", "n", "first_id")
-    return join_to_keys(rows, members, ["t", "u"], "n").where("id <> first_id").select("first_id", F.col("id").alias("copy_id"))
+    members = writings.select("w1", "w2", "n", "r").join(repeated.select("r", "first_id"), "r").select("w1", "w2", "n", "first_id")
+    rows = df.select(F.col(f"`{key}`").alias("id"), *_row_digest(columns))
+    return join_to_keys(rows, members, ["w1", "w2"], "n").where("id <> first_id").select("first_id", F.col("id").alias("copy_id"))

@@ -41,3 +41,12 @@ def test_random_against_brute_force(spark):
     df = spark.createDataFrame([(*r, "k", "u") for r in rows], SCHEMA)
     got = {r.listing_id: r.n_copies for r in D.collapse(df, "listing_id", ["app_number", "description"]).collect()}
     assert got == {min(g): len(g) for g in records.values()}
+
+
+def test_fields_that_share_a_hash_are_told_apart(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([("aa",), ("ab",), ("b",), ("aa",)], "field string")
+    codes = D.coder(df, lambda c: F.xxhash64(F.substring(c, 1, 1)))
+    got = {r.field: tuple(r.t) for r in df.select("field", codes(F.array("field")).alias("t")).collect()}
+    assert len(set(got.values())) == 3 and got["aa"][0] == got["ab"][0] and len(got["b"]) == 1
