@@ -2,9 +2,10 @@
 
 The columns are unpivoted and counted as (load, column, value, n) with map-side combine, so a value that fills a third of a
 load is a handful of rows by the time anything is shuffled. Everything else comes from these counts: frequencies, distinct
-values, ranges, and histograms of several kinds (state, written form, value, number, year, length). The written form of
-a long text is seen by its start, its end, the marks in it, its runs and the shares of classes of characters: one hash of it
-all would differ from row to row and show nothing. A load's histogram is held against the usual one, the median share of each bin over all loads, by the population stability index; a column has
+values, ranges, and histograms of several kinds (state, written form, value, number, year, length). Values and forms are
+compared by their exact counts: each that makes up one in a hundred cells of any load, and five of them at least, is a bin of
+its own in all loads, and the others together are one. The written form of a long text is seen as a whole and by its
+end, the marks in it, its runs and the shares of classes of characters, as whole forms hardly recur. A load's histogram is held against the usual one, the median share of each bin over all loads, by the population stability index; a column has
 changed where an index passes what chance and lesser wobble give, or the share of distinct values moves plainly.
 
 Defined cases: rows without a load number are profiled under null and not compared; a column that is empty in a load has
@@ -27,13 +28,16 @@ from plumbline.plans.lineage import cut
 INDEX_LIMIT = 0.25
 NOISE_FACTOR = 3.0
 DISTINCT_LIMIT = 0.2
-HASH_BINS = 32
+#: A value or form is a bin of its own from this share of the filled cells of a load, and this many cells, on; there can be
+#: no more than a hundred of them in a load.
+TOP_SHARE, TOP_CELLS = 0.01, 5
+REST = "rest"
 MIN_KIND_SHARE = 0.3
 _DROPPED = "£$€¥, ()"
 #: Characters of a plain number and of what is dropped around it: other values are no numbers, seen at their first other character.
 MAY_BE_NUMBER = rf"^[-+.0-9eE{_DROPPED}]+$"
-#: Characters of a written form that its start and its end take; the other histograms of form take it whole.
-START, END = 16, 4
+#: Characters of a written form that the histogram of its end takes; the others take it whole.
+END = 4
 SHARE_BINS = 8
 CLASSES = {"lower": "a", "upper": "A", "digits": "9", "blanks": " "}
 #: Histograms of filled cells, compared however few cells are filled.
@@ -89,31 +93,36 @@ def mask_counts(masks: DataFrame, load: str) -> DataFrame:
 
 
 def histograms(df: DataFrame, load: str, columns: Sequence[str], masks: DataFrame | None, blanks: Sequence[str]) -> DataFrame:
-    """(load, column_name, kind, bin, n): histograms of all kinds, and the number of distinct filled values as a kind."""
-    counts = value_counts(df.where(F.col(f"`{load}`").isNotNull()), load, columns)
-    filled, v = F.col("filled"), F.col("value")
-    number = F.col("number")
+    """(load, column_name, kind, bin, n): histograms of all kinds, and the number of distinct filled values as a kind.
+
+    All branches read one exchange of value counts; none filters by the grouping columns alone, as such a filter would move
+    below the counts and have them taken again.
+    """
+    v, n, number, form, letters = (F.col(c) for c in ("value", "n", "number", "form", "classes"))
+    counts = value_counts(df.where(F.col(f"`{load}`").isNotNull()), load, columns).withColumn("filled", F.when(v.isNotNull() & ~is_placeholder(v, blanks), n))
+    filled = F.col("filled").isNotNull()
     magnitude = F.when(number == 0, "0").otherwise(F.concat(F.when(number < 0, "-").otherwise("+"), F.floor(F.log2(F.abs(number)) * 1.5).cast("string")))
-    hashed = lambda c: F.when(filled, F.pmod(F.xxhash64(c), F.lit(HASH_BINS)).cast("string"))
     octaves = lambda c: F.when(filled, F.floor(F.log2(F.length(c) + 1) * 2).cast("string"))
-    form, letters = F.col("form"), F.col("classes")
     share = lambda c: 1 - F.length(F.replace(letters, F.lit(c), F.lit(""))) / F.greatest(F.length(letters), F.lit(1))
     kinds = {
         "state": F.when(v.isNull(), "missing").when(~filled, "placeholder").otherwise("filled"),
         "distinct": F.when(filled, ""),
-        "form": hashed(F.substring(form, 1, START)),
-        "ending": hashed(F.right(form, F.lit(END))),
-        "marks": hashed(F.translate(form, "".join(CLASSES.values()), "")),
         "runs": octaves(form),
         **{k: F.when(filled, F.ceil(share(c) * SHARE_BINS).cast("string")) for k, c in CLASSES.items()},
-        "value": hashed(v),
         "number": F.when(filled & number.isNotNull(), magnitude),
         "year": F.when(filled, F.nullif(F.regexp_extract(v, r"(?:^|\D)((?:19|20)\d\d)(?:\D|$)", 1), F.lit(""))),
         "length": octaves(v),
     }
-    staged = counts.withColumn("filled", v.isNotNull() & ~is_placeholder(v, blanks)).withColumn("number", F.when(filled & v.rlike(MAY_BE_NUMBER), plain_number(v))).withColumn("classes", classes(v)).withColumn("form", written_form(letters))
-    cells = staged.select("load", "column_name", F.inline(F.array(*[F.struct(F.lit(k).alias("kind"), b.alias("bin"), (F.lit(1).cast("long") if k == "distinct" else F.col("n")).alias("w")) for k, b in kinds.items()])))
+    texts = {"form": form, "ending": F.right(form, F.lit(END)), "marks": F.translate(form, "".join(CLASSES.values()), "")}
+    staged = counts.withColumn("classes", classes(v)).withColumn("form", written_form(letters))
+    numbered = staged.withColumn("number", F.when(filled & v.rlike(MAY_BE_NUMBER), plain_number(v)))
+    cells = numbered.select("load", "column_name", F.inline(F.array(*[F.struct(F.lit(k).alias("kind"), b.alias("bin"), (F.lit(1).cast("long") if k == "distinct" else n).alias("w")) for k, b in kinds.items()])))
     bins = cells.where("bin is not null").groupBy("load", "column_name", "kind", "bin").agg(F.sum("w").alias("n"))
+    written = staged.where(filled).select("load", "column_name", "filled", F.inline(F.array(*[F.struct(F.lit(k).alias("kind"), F.xxhash64(b).alias("text")) for k, b in texts.items()])))
+    written = written.groupBy("load", "column_name", "kind", "text").agg(F.sum("filled").alias("n"))
+    values = counts.where(filled).select("load", "column_name", F.lit("value").alias("kind"), F.xxhash64(v).alias("text"), "n")
+    totals = counts.groupBy("load", "column_name").agg(F.sum("filled").alias("total")).where("total > 0")
+    bins = bins.unionByName(reduce(DataFrame.unionByName, [_frequent(x, totals) for x in (written, values)]))
     if masks is None:
         return bins
     flagged = mask_counts(masks, load).where("load is not null")
@@ -123,6 +132,14 @@ def histograms(df: DataFrame, load: str, columns: Sequence[str], masks: DataFram
     return bins.unionByName(totals.select("load", "column_name", F.inline(F.array(*rows))))
 
 
+def _frequent(texts: DataFrame, totals: DataFrame) -> DataFrame:
+    """(load, column_name, kind, bin, n) of (load, column_name, kind, text, n): texts that are frequent in some load, by
+    their digests, and for each load what is left of the total."""
+    top = texts.join(totals, ["load", "column_name"]).where((F.col("n") >= TOP_CELLS) & (F.col("n") >= TOP_SHARE * F.col("total"))).select("column_name", "kind", "text").distinct()
+    marked = texts.join(top.withColumn("top", F.lit(True)), ["column_name", "kind", "text"], "left")
+    return marked.groupBy("load", "column_name", "kind", F.when(F.col("top"), F.col("text").cast("string")).otherwise(REST).alias("bin")).agg(F.sum("n").alias("n"))
+
+
 def stability(df: DataFrame, load: str, columns: Sequence[str], masks: DataFrame | None = None, blanks: Sequence[str] = DISGUISED_BLANKS) -> DataFrame:
     """(load, column_name, kind, measure, limit_value, changed) of every load, column and kind of histogram."""
     bins = cut(histograms(df, load, columns, masks, blanks))  # a few hundred rows per load, read by every step below
