@@ -10,6 +10,7 @@ import unicodedata
 from collections.abc import Callable, Mapping
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -111,21 +112,42 @@ def to_percentage(c: Column) -> Column:
     return to_number(F.replace(c, F.lit("%"), F.lit("")))
 
 
+@F.arrow_udf(T.StringType())
+def _shortest_text(numbers: pa.Array) -> pa.Array:
+    return pa.array([None if x is None else repr(x) for x in numbers.to_pylist()], pa.string())
+
+
 def number_text(c: Column) -> Column:
-    """A number as text: integral values without a point, others with all their digits and, as people write them, without
-    an exponent from 1e-4 up to 1e16; beyond that an exponent of at least two digits, as in ``1e+16`` and ``1e-05``."""
-    return let(c.cast("double"), _number_text)
+    """A number as text: integral values without a point, others with the fewest digits that give the number back and, as
+    people write them, without an exponent from 1e-4 up to 1e16; beyond that an exponent of at least two digits, as in
+    ``1e+16`` and ``1e-05``.
+
+    Before Java 19, Java's text may have a digit too many or not the nearest last one. It has neither with up to 15 digits,
+    as no two decimals of that length are one double, subnormal ones aside; only longer ones go to Python. What goes there is
+    chosen without ``let``: Spark does not always find a Python function again whose argument holds a lambda."""
+    x = c.cast("double")
+    long = (F.abs(x) <= 1e-300) | ((F.length(x.cast("string")) > 16) & (F.length(_digits(x.cast("string"))) > 15))
+    return F.coalesce(_shortest_text(F.when(~_whole(x) & long, x)), let(x, _number_text))
+
+
+def _whole(x: Column) -> Column:
+    return (x == F.floor(x)) & (F.abs(x) < 1e16)
 
 
 def _number_text(x: Column) -> Column:
-    size = F.abs(x)
-    written = let(x.cast("string"), lambda t: F.when(t.contains("E"), let(F.format_string("%.15E", x), lambda r: _exponent_text(x, F.when(r.cast("double") == x, r).otherwise(F.format_string("%.16E", x))))).otherwise(t))
-    return F.when(F.isnan(x), "nan").when(size == float("inf"), F.when(x > 0, "inf").otherwise("-inf")).when((x == F.floor(x)) & (size < 1e16), x.cast("decimal(38,0)").cast("string")).otherwise(written)
+    """The text of whole numbers and of those that Java writes with up to 15 digits."""
+    written = let(x.cast("string"), lambda t: F.when(t.contains("E"), _exponent_text(x, t)).otherwise(t))
+    return F.when(F.isnan(x), "nan").when(F.abs(x) == float("inf"), F.when(x > 0, "inf").otherwise("-inf")).when(_whole(x), x.cast("decimal(38,0)").cast("string")).otherwise(written)
+
+
+def _digits(t: Column) -> Column:
+    """The significant digits of a written number."""
+    return F.regexp_replace(F.regexp_replace(F.split_part(t, F.lit("E"), F.lit(1)), r"^[-0.]+|\.", ""), "0+$", "")
 
 
 def _exponent_text(x: Column, t: Column) -> Column:
     """``t`` is a writing of x with an exponent: its digits are kept, its point is moved or its exponent rewritten."""
-    digits = F.regexp_replace(F.regexp_replace(F.split_part(t, F.lit("E"), F.lit(1)), r"^-|\.", ""), "(?<=.)0+$", "")
+    digits = _digits(t)
     power = F.split_part(t, F.lit("E"), F.lit(2)).cast("int")
     sign = F.when(x < 0, "-").otherwise("")
     after = F.substr(digits, F.lit(2), F.length(digits))

@@ -44,3 +44,13 @@ def test_number_text_is_python_text(spark):
     wanted = [str(int(v)) if abs(v) < 1e16 and v == int(v) else str(v) for v in values if abs(v) != float("inf")]
     got = [r[0] for r in df.select(V.number_text(F.col("v"))).collect()]
     assert [g for g in got if "inf" not in g] == wanted and got[15:17] == ["inf", "-inf"]
+
+
+def test_number_text_has_the_fewest_digits(spark):
+    values = [-9.06282354799018e16, 9.892985009487029e17, 3.0617315596860195e25, 2.0**-44, 5e-324, 2e23, 1e23, 0.1 + 0.2, 1 / 3, 4503599627370497.5, 2.2250738585072014e-308, 1.7976931348623157e308]
+    rng = random.Random(2)
+    values += [-rng.uniform(800, 500000) * 2**40 for _ in range(3000)] + [rng.uniform(0, 1) * 10 ** rng.randint(-20, 20) for _ in range(2000)]
+    wanted = [str(int(v)) if abs(v) < 1e16 and v == int(v) else repr(v) for v in values]
+    for shift in (0, 1):  # planned anew each time
+        df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double").where(F.col("i") >= shift)
+        assert [r[0] for r in df.orderBy("i").select(V.number_text(F.col("v"))).collect()] == wanted[shift:]
